@@ -36,8 +36,9 @@ def mask(text: str, extra_pattern: str | None = None, extra: tuple[str, str] | N
     rules = kinds_and_placeholders(extra)
     lists = hit_lists(text, pattern, len(rules))
     marks = "[" + ", ".join(f"'{p}'" for _, p in rules) + "]"
-    first = f"list_position(list_transform({lists}, lambda l: coalesce(l[i], '') <> ''), true)"
-    return f"""CASE WHEN regexp_matches({text}, {pattern}) THEN list_reduce(list_transform(
-        string_split_regex({text}, {pattern}),
-        lambda piece, i: piece || coalesce({marks}[{first}], '')), lambda a, b: a || b)
+    first = "list_position(list_transform(bound.found, lambda l: coalesce(l[i], '') <> ''), true)"
+    return f"""CASE WHEN regexp_matches({text}, {pattern}) THEN list_transform(
+        [{{'found': {lists}, 'pieces': string_split_regex({text}, {pattern})}}],
+        lambda bound: array_to_string(list_transform(bound.pieces,
+          lambda piece, i: piece || coalesce({marks}[{first}], '')), ''))[1]
       ELSE {text} END"""

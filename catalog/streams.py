@@ -29,7 +29,7 @@ def _records(spark, sf):
     """Events as stream records: some without source, title or run id, some unreadable."""
     kind, number = F.col("event_type"), F.col("event_id").cast("string")
     full = F.concat(F.lit('{"title": "t'), number, F.lit('", "url": "/u/'), F.col("user_id").cast("string"),
-                    F.lit('", "body": "b'), number, F.lit('"}'))
+                    F.lit("-"), F.get_json_object("props", "$.k"), F.lit('", "body": "b'), number, F.lit('"}'))
     payload = (
         F.when(kind == "error", F.concat(F.lit("broken "), number))
         .when(kind == "view", F.col("props"))
@@ -47,7 +47,7 @@ def _records(spark, sf):
 _RECORDS_SQL = """
 decoded AS (SELECT event_id, user_id, event_type, CASE event_type WHEN 'click' THEN 'unknown' ELSE event_type END AS source,
   CASE WHEN event_type IN ('click', 'purchase') THEN 't' || event_id ELSE '' END AS title,
-  CASE WHEN event_type IN ('click', 'purchase') THEN '/u/' || user_id ELSE '' END AS url,
+  CASE WHEN event_type IN ('click', 'purchase') THEN '/u/' || user_id || '-' || json_extract_string(props, '$.k') ELSE '' END AS url,
   CASE WHEN event_type IN ('click', 'purchase') THEN 'b' || event_id ELSE '' END AS body,
   CASE WHEN event_type = 'purchase' THEN regexp_replace(md5(event_id::VARCHAR), '^(.{8})(.{4})(.{4})(.{4})(.{12})$',
        '\\1-\\2-\\3-\\4-\\5') END AS pipeline_run_id,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsledger import schema as S
-from newsledger.functions.text import or_empty
+from newsledger.functions.text import let, or_empty
 
 # --------------------------------------------------------------------------------------------------
 # What a valid answer looks like, and the record used when there is none.
@@ -54,52 +54,56 @@ def build_prompt(title: Column, content: Column) -> Column:
     )
 
 
-def is_json_object(raw: Column) -> Column:
-    """True iff the text is one well-formed JSON object."""
-    return F.coalesce(
-        raw.rlike(r"(?s)^\s*\{.*\}\s*$") & F.from_json(raw, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull(),
-        F.lit(False),
+_JSON_SPACE = " \t\r\n"
+
+
+def json_object(raw: Column) -> Column:
+    """The text's fields as ``map<name, text>``, null unless it is one JSON object.
+
+    Bind it with ``let`` when it is needed more than once.
+    """
+    trimmed = F.btrim(raw, F.lit(_JSON_SPACE))
+    return F.when(
+        trimmed.startswith("{") & trimmed.endswith("}"), F.from_json(raw, "map<string,string>")
     )
 
 
 def parse_analysis(raw: Column) -> Column:
     """The answer as a struct of eight fields plus ``is_fallback``.
 
-    Fields are read one by one from a map of texts, so one value of a wrong type becomes null and leaves
-    the others alone. Only a text which is no JSON object takes the fallback record.
+    The text is parsed once into a map of texts and the fields are read one by one, so one value of a
+    wrong type becomes null and leaves the others alone. Only a text which is no JSON object takes the
+    fallback record.
     """
-    fields = F.from_json(raw, "map<string,string>", {"mode": "PERMISSIVE"})
-    is_object = is_json_object(raw)
+    return let(json_object(raw), _analysis_of)
+
+
+def _analysis_of(fields: Column) -> Column:
+    readable = fields.isNotNull()
+
+    def field(value: Column, fallback: Column) -> Column:
+        return F.when(readable, value).otherwise(fallback)
 
     def whole(name: str) -> Column:
         number = fields[name].try_cast("double")
         return F.when(number == F.floor(number), number.try_cast("short"))
 
-    def field(value: Column, fallback: Column) -> Column:
-        return F.when(is_object, value).otherwise(fallback)
-
     def listed(name: str, element: T.DataType) -> Column:
         given = F.when(fields[name].startswith("["), fields[name])
         return F.coalesce(F.from_json(given, T.ArrayType(element)), S.empty_array(element))
 
-    def texts(name: str) -> Column:
-        return listed(name, T.StringType())
-
-    entities = listed("entities", S.ENTITY)
     return F.struct(
         field(fields["summary"], F.lit(FALLBACK_SUMMARY)).alias("summary"),
         field(fields["category"], F.lit(FALLBACK_CATEGORY)).alias("category"),
-        field(whole("importance_score"), F.lit(FALLBACK_IMPORTANCE).cast("short")).alias(
-            "importance_score"
-        ),
-        field(texts("target_roles"), S.empty_array()).alias("target_roles"),
+        field(whole("importance_score"), F.lit(FALLBACK_IMPORTANCE).cast("short")).alias("importance_score"),
+        listed("target_roles", T.StringType()).alias("target_roles"),
         field(fields["sentiment_score"].try_cast("double"), F.lit(float(FALLBACK_SENTIMENT))).alias(
             "sentiment_score"
         ),
-        field(entities, S.empty_array(S.ENTITY)).alias("entities"),
-        field(texts("tags"), S.empty_array()).alias("tags"),
+        listed("entities", S.ENTITY).alias("entities"),
+        listed("tags", T.StringType()).alias("tags"),
         field(fields["ai_summary"], F.lit(FALLBACK_AI_SUMMARY)).alias("ai_summary"),
-        (~is_object).alias("is_fallback"),
+        (~readable).alias("is_fallback"),
     )
 
 

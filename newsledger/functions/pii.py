@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsledger.functions.text import let
+
 # --------------------------------------------------------------------------------------------------
 # Surnames, context words, rule patterns and placeholders.
 # ``\b``, ``\d`` and ``\s`` have their Unicode meaning, see ``jvm_pattern``.
@@ -204,16 +206,14 @@ class PiiScanner:
 
     def counts(self, text: Column) -> Column:
         """``map<kind,int>`` of the kinds which occur; empty for null."""
-        entries = F.transform(
-            F.array(self.hit_kinds(text)),
-            lambda kinds: F.map_from_entries(
-                F.transform(
-                    F.array_distinct(kinds),
-                    lambda k: F.struct(k, F.size(F.filter(kinds, lambda x: x == k))),
-                )
-            ),
-        )
-        return entries[0]
+        def count(kinds: Column) -> Column:
+            counted = F.transform(
+                F.array_distinct(kinds),
+                lambda k: F.struct(k, F.size(F.filter(kinds, lambda x: x == k))),
+            )
+            return F.map_from_entries(counted)
+
+        return let(self.hit_kinds(text), count)
 
     # -- mask --------------------------------------------------------------------------------------
     def mask(self, text: Column) -> Column:

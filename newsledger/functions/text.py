@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ WHITESPACE = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Trim Unicode white space on both sides."""
     return F.btrim(text, F.lit(WHITESPACE))

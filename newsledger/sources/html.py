@@ -7,6 +7,8 @@ Python: an Arrow-batched UDF over the ``html`` column alone. All later steps are
 from __future__ import annotations
 
 from collections import Counter
+from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -39,7 +41,7 @@ class _PageReader(HTMLParser):
     """One pass over a page; end tags close everything opened since the matching start tag."""
 
     def __init__(self, profile: PageProfile):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.selectors = tuple(dict.fromkeys(profile.link_areas + profile.text_areas))
         self.muted = _SILENT | set(profile.strip_tags)
         self.stack: list[str] = []
@@ -109,6 +111,12 @@ class _PageReader(HTMLParser):
     def handle_data(self, data):
         self.buffer.append(data)
 
+    def handle_charref(self, name):
+        self.buffer.append(unescape(f"&#{name};"))
+
+    def handle_entityref(self, name):
+        self.buffer.append(html5.get(f"{name};", f"&{name}"))
+
     def handle_comment(self, data):
         self._flush()
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsledger import schema as S
-from newsledger.functions.analysis import is_json_object
+from newsledger.functions.analysis import json_object
+from newsledger.functions.text import let
 from newsledger.operators.enrich import Factory
 from newsledger.operators.items import to_items
 from newsledger.operators.ranking import first_per_group
@@ -59,19 +60,28 @@ def decode_records(records: DataFrame) -> DataFrame:
     Missing fields take their defaults; a payload which is no JSON object and a run id which is no UUID
     set ``decode_error``.
     """
-    payload = F.coalesce("payload", F.lit("{}"))
-    fields = F.from_json(payload, "struct<title:string,url:string,body:string>")
+    fields = json_object(F.coalesce("payload", F.lit("{}")))
     run = F.when(F.col("pipeline_run_id") != "", F.col("pipeline_run_id"))
-    error = F.when(~is_json_object(payload), "payload is not a JSON object").when(
-        run.isNotNull() & canonical_uuid(run).isNull(), "pipeline_run_id is not a UUID"
-    )
-    return records.select(
+    # Two steps, so that the payload is parsed once for all its fields.
+    parsed = records.select(
         F.coalesce("source", F.lit(S.UNKNOWN_SOURCE)).alias("source"),
-        *[F.coalesce(fields[c], F.lit("")).alias(c) for c in ("title", "url", "body")],
-        canonical_uuid(run).alias("pipeline_run_id"),
+        let(
+            fields,
+            lambda f: F.struct(
+                f.isNotNull().alias("readable"),
+                *[F.coalesce(f[c], F.lit("")).alias(c) for c in ("title", "url", "body")],
+            ),
+        ).alias("fields"),
+        canonical_uuid(run).alias("run_id"),
         "payload",
-        F.col("pipeline_run_id").alias("raw_run_id"),
-        error.alias("decode_error"),
+        run.alias("raw_run_id"),
+    )
+    error = F.when(~F.col("fields.readable"), "payload is not a JSON object").when(
+        F.col("raw_run_id").isNotNull() & F.col("run_id").isNull(), "pipeline_run_id is not a UUID"
+    )
+    return parsed.select(
+        "source", "fields.title", "fields.url", "fields.body", F.col("run_id").alias("pipeline_run_id"),
+        "payload", "raw_run_id", error.alias("decode_error"),
     )
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from newsledger import schema as S
 from newsledger.functions.urls import dedup_key
+from newsledger.sources.tables import read_table
 
 EPOCH = 1704067200  # 2024-01-01
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return read_table(spark, f"{sf_dir}/{table}.parquet")
 
 
 def documents_as_items(spark: SparkSession, sf_dir: str) -> DataFrame:

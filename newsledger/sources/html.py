@@ -170,4 +170,5 @@ def read_page(html: Column, profile: PageProfile) -> Column:
     def extract(pages: pd.Series) -> pd.DataFrame:
         return pd.DataFrame((_read(h, profile) for h in pages), columns=["links", "body"])
 
-    return extract(html)
+    # Marked non-deterministic so that no filter on its result is moved below it, parsing pages twice.
+    return extract.asNondeterministic()(html)

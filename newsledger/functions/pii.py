@@ -99,8 +99,10 @@ CUSTOM_KIND, CUSTOM_PLACEHOLDER, UNKNOWN_PLACEHOLDER = "CUSTOM", "[CUSTOM]", "[R
 # --------------------------------------------------------------------------------------------------
 
 # Unicode letters, numbers and underscore; decimal digits; white space including the four ASCII
-# separators. Spelled out because the shorthand classes of java.util.regex differ in the details.
-_WORD = r"\p{L}\p{N}_"
+# separators. Spelled out because the shorthand classes of java.util.regex differ in the details. The
+# digit U+1D7D8 is in the class anyway; named literally it makes lookbehind step over whole characters
+# beyond the BMP instead of half ones.
+_WORD = r"\p{L}\p{N}_" + "\U0001d7d8"
 _DIGIT = r"\p{Nd}"
 _SPACE = r"\t-\r\x1c-\x20\x85\xa0  -     　"
 _EDGE = f"(?:(?<=[{_WORD}])(?![{_WORD}])|(?<![{_WORD}])(?=[{_WORD}]))"

@@ -68,7 +68,11 @@ RULES: tuple[PiiRule, ...] = (
         "PHONE_LANDLINE", "[LANDLINE]", r"\b0[2-8][-\s]?\d{3,4}[-\s]?\d{4}(?:\s*#\d{1,6})?\b", "0", r"\d"
     ),
     PiiRule(
-        "EMAIL", "[EMAIL]", r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b", None, "@"
+        "EMAIL",
+        "[EMAIL]",
+        r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b",
+        r"[A-Za-z0-9._%+\-]",
+        "@",
     ),
     PiiRule("BANK_ACCOUNT", "[BANK_ACCOUNT]", r"\b\d{10,14}\b", r"\d", r"\d"),
     PiiRule("RESIDENT_CERT", "[RESIDENT_CERT]", r"\b[A-Z]{1,2}\d{8}\b", "[A-Z]", r"\d"),

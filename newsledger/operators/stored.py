@@ -9,24 +9,44 @@ from newsledger import schema as S
 from newsledger.operators.ranking import first_per_group
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Spark's own size estimate of ``df`` lies below its broadcast threshold."""
+    session = df.sparkSession
+    limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def known_keys(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """The stored keys which occur in ``incoming``.
+
+    ``stored`` is the streamed side: an increment below the broadcast threshold moves no stored row,
+    and of both tables only the key column is read.
+    """
+    return stored.select(key).join(incoming.select(key), key, "left_semi")
+
+
 def new_items(items: DataFrame, stored: DataFrame, key: str = "url") -> DataFrame:
-    """Items whose key is not stored. Repeats inside ``items`` stay.
+    """Items whose key is not stored. Repeats inside ``items`` stay, null keys count as new.
 
-    Only the key column of ``stored`` is read. No side is forced into a broadcast: Spark broadcasts the
-    keys while they are below its threshold, otherwise it sorts and merges, and adaptive execution
-    splits a hot key of the left side.
+    A stored table whose keys fit a broadcast is compared directly. Beyond that the keys which occur on
+    both sides are found first, on the key columns alone; that set is no larger than the increment, so
+    the wide items usually need no shuffle. Where they do, adaptive execution splits a hot key.
     """
-    return items.join(stored.select(key), key, "left_anti").select(items.columns)
+    keys = stored.select(key)
+    if not fits_broadcast(keys):
+        keys = known_keys(items, stored, key)
+    return items.join(keys, key, "left_anti").select(items.columns)
 
 
 def existing_urls(urls: DataFrame, stored: DataFrame) -> DataFrame:
     """The distinct URLs of ``urls`` which are stored."""
-    return urls.select("url").distinct().join(stored.select("url"), "url", "left_semi")
+    return known_keys(urls, stored, "url").distinct()
 
 
 def url_exists(items: DataFrame, stored: DataFrame, flag: str = "is_stored") -> DataFrame:
     """``items`` with a flag telling whether a stored row has the same URL."""
-    known = stored.select("url").distinct().withColumn("__known", F.lit(True))
+    known = existing_urls(items, stored).withColumn("__known", F.lit(True))
     return (
         items.join(known, "url", "left")
         .withColumn(flag, F.coalesce("__known", F.lit(False)))
@@ -82,8 +102,7 @@ def upsert(
             for c in stored.columns
         ]
     )
-    taken = stored.select(key).join(incoming.select(key), key, "left_semi")
-    fresh = incoming.join(taken, key, "left_anti")
+    fresh = incoming.join(known_keys(incoming, stored, key), key, "left_anti")
     inserted = fresh.select(
         *[
             (F.col(c) if c in incoming.columns else defaults.get(c, F.lit(None))).cast(types[c]).alias(c)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from newsledger.operators.items import to_items, union_sources
 from newsledger.operators.pages import entry_bodies, link_entries, redirect_guard
 from newsledger.operators.stored import new_items
+from newsledger.session import materialize
 from newsledger.sources.profiles import PageProfile
 
 
@@ -34,6 +35,8 @@ def collect_items(
         pages = source.list_pages
         if source.profile.allow_hosts is not None:
             pages = redirect_guard(pages, source.profile.allow_hosts)
-        entries = new_items(link_entries(pages, source.profile, limit), stored)
+        # Narrow rows, used several times below: kept, so the list pages are parsed once.
+        listed = materialize(link_entries(pages, source.profile, limit))
+        entries = new_items(listed, stored)
         found.append(to_items(entry_bodies(entries, source.article_pages, source.profile), run_id))
     return union_sources(*found)

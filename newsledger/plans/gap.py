@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsledger.functions.text import or_empty
 from newsledger.operators.enrich import Factory, call_model
 from newsledger.operators.search import intel_query, vector_topk
+from newsledger.session import materialize
 
 # What the report asks for and says.
 KEYWORD, CATEGORY, TOP_REGULATIONS, TOP_DOCUMENTS = "資安", "法遵", 3, 3
@@ -62,6 +63,8 @@ def gap_report(
     ``regulations (reg_id, title, summary, importance, vector)``,
     ``documents (doc_id, text, vector)``; the model answers in free text.
     """
+    # A handful of rows, but costly to find: kept, so the item table is searched once.
+    regulations = materialize(regulations)
     hits = vector_topk(regulations.select(F.col("reg_id").alias("query_id"), "vector"), documents, k)
     context = gap_context(hits, documents).withColumnRenamed("query_id", "reg_id")
     asked = regulations.join(context, "reg_id", "left").withColumn(

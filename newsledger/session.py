@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,21 @@ def materialize(df: DataFrame) -> DataFrame:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="newsledger-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+_shipped: set[tuple] = set()
+
+
+def ship_packages(spark: SparkSession, *folders: str | Path) -> None:
+    """Makes Python packages importable on the executors, once per application."""
+    context = spark.sparkContext
+    names = tuple(sorted(str(f) for f in folders))
+    if (context.applicationId, names) in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="newsledger-code-")) / "newsledger_packages.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder in map(Path, names):
+            for source in sorted(folder.rglob("*.py")):
+                bundle.write(source, source.relative_to(folder.parent))
+    context.addPyFile(str(archive))
+    _shipped.add((context.applicationId, names))

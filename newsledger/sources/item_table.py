@@ -27,6 +27,18 @@ class ItemTable:
             return 0
         return commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
+    def ensure(self) -> ItemTable:
+        """Notes an empty table as version 0 unless there is one."""
+        try:
+            self.spark.read.parquet(f"{self.path}/commits")
+        except AnalysisException:
+            self._commit(0)
+        return self
+
+    def _commit(self, version: int) -> None:
+        row = self.spark.range(1).select(F.lit(version).alias("version"))
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+
     def _rows(self, version: int) -> str:
         return f"{self.path}/rows/version={version}"
 
@@ -48,9 +60,7 @@ class ItemTable:
         """Publishes ``df`` (which may read the current version) as the next version."""
         version = self.version() + 1
         self._fit(df).write.mode("overwrite").parquet(self._rows(version))
-        self.spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
+        self._commit(version)
         return version
 
     def append(self, df: DataFrame) -> int:

@@ -126,6 +126,7 @@ def start_worker(
     **options,
 ) -> StreamingQuery:
     """Starts working off the stream; ``available_now`` stops after what is there."""
+    table.ensure()
 
     def work(batch: DataFrame, batch_id: int) -> None:
         here = ItemTable(batch.sparkSession, table.path, table.schema)

@@ -1,9 +1,13 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+# Python workers import the tests' own functions by module name.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")])
 
 from newsledger.session import build_session  # noqa: E402
 
@@ -13,7 +17,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", spark__master="local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "tests", spark__master="local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="4g", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")

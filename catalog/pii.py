@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from catalog import register, sql_pii
-from catalog.tables import ITEMS_SQL, documents_as_items, read
+from catalog.tables import ITEMS_SQL, documents_as_items, read_spread
 from newsledger import schema as S
 from newsledger.functions.pii import CUSTOM_KIND, CUSTOM_PLACEHOLDER, RULES, PiiScanner
 from newsledger.operators import pii
@@ -25,7 +25,7 @@ rules AS (SELECT * FROM (VALUES {", ".join(f"({i + 1}, '{k}', '{p}')" for i, (k,
     f"WITH {_HITS} SELECT source, kind, count(*) AS n_hits FROM hits JOIN rules USING (k) GROUP BY ALL",
 )
 def pii_report(spark, sf):
-    return pii.pii_report(read(spark, sf, "documents"), ["source"])
+    return pii.pii_report(read_spread(spark, sf, "documents"), ["source"])
 
 
 @register(
@@ -33,17 +33,17 @@ def pii_report(spark, sf):
     f"WITH {_HITS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, kind, value FROM hits JOIN rules USING (k)",
 )
 def pii_scan(spark, sf):
-    return pii.pii_scan(read(spark, sf, "documents"), ["doc_id"])
+    return pii.pii_scan(read_spread(spark, sf, "documents"), ["doc_id"])
 
 
 @register("pii_mask", f"SELECT doc_id, {sql_pii.mask('text')} AS masked FROM documents")
 def pii_mask(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", PiiScanner().mask(F.col("text")).alias("masked"))
+    return read_spread(spark, sf, "documents").select("doc_id", PiiScanner().mask(F.col("text")).alias("masked"))
 
 
 @register("pii_safe", f"SELECT doc_id, {sql_pii.is_safe('text')} AS is_safe FROM documents")
 def pii_safe(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", PiiScanner().is_safe(F.col("text")).alias("is_safe"))
+    return read_spread(spark, sf, "documents").select("doc_id", PiiScanner().is_safe(F.col("text")).alias("is_safe"))
 
 
 @register(
@@ -55,7 +55,7 @@ def pii_safe(spark, sf):
 def pii_counts(spark, sf):
     counts = F.array_sort(F.map_entries(PiiScanner().counts(F.col("text"))))
     text = F.transform(counts, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return read(spark, sf, "documents").select("doc_id", F.array_join(text, ",").alias("counts"))
+    return read_spread(spark, sf, "documents").select("doc_id", F.array_join(text, ",").alias("counts"))
 
 
 @register(
@@ -66,7 +66,7 @@ def pii_counts(spark, sf):
     FROM every LEFT JOIN n USING (k)""",
 )
 def pii_rules(spark, sf):
-    return pii.rule_usage(read(spark, sf, "documents"))
+    return pii.rule_usage(read_spread(spark, sf, "documents"))
 
 
 _WORDS = ["token =", "(555)", "the "]
@@ -81,7 +81,7 @@ _WORDS_SQL = r"token =|\(555\)|the "
 )
 def pii_custom(spark, sf):
     scanner = PiiScanner(_WORDS)
-    return read(spark, sf, "documents").select("doc_id", scanner.mask(F.col("text")).alias("masked"))
+    return read_spread(spark, sf, "documents").select("doc_id", scanner.mask(F.col("text")).alias("masked"))
 
 
 @register(
@@ -94,7 +94,7 @@ def pii_custom(spark, sf):
     FROM f""",
 )
 def quarantine(spark, sf):
-    done = pii.quarantine(documents_as_items(spark, sf))
+    done = pii.quarantine(documents_as_items(spark, sf, spread=True))
     return done.select(
         "dedup_key",
         "is_quarantined",

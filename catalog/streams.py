@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from catalog import register
 from catalog.enrichment import _DONE, MASKED_SQL, analyst, letter_counter, shown
-from catalog.tables import ITEMS_SQL, documents_as_items, read
+from catalog.tables import ITEMS_SQL, documents_as_items, read_spread
 from newsledger.sources.item_table import ItemTable
 from newsledger.streaming import ingest
 
@@ -22,7 +22,7 @@ def new_folder(spark) -> str:
     'dedup_key': dedup_key}})::VARCHAR) AS payload_md5 FROM items""",
 )
 def publish_stream(spark, sf):
-    return ingest.stream_records(documents_as_items(spark, sf)).select("source", F.md5("payload").alias("payload_md5"))
+    return ingest.stream_records(documents_as_items(spark, sf, spread=True)).select("source", F.md5("payload").alias("payload_md5"))
 
 
 def _records(spark, sf):
@@ -39,7 +39,7 @@ def _records(spark, sf):
     run = F.when(kind == "click", F.lit("")).when(kind == "view", F.lit("not-a-uuid")).when(
         kind == "purchase", F.concat(F.lit("{"), F.upper(F.substring(F.md5(number), 1, 32)), F.lit("}"))
     )
-    return read(spark, sf, "events").select(
+    return read_spread(spark, sf, "events").select(
         "event_id", F.when(kind != "click", kind).alias("source"), payload.alias("payload"), run.alias("pipeline_run_id")
     )
 
@@ -101,7 +101,7 @@ def ack_or_retry(spark, sf):
 def stream_ingest(spark, sf):
     """Publishes the documents, works the stream off in micro-batches and reads the table back."""
     root = new_folder(spark)
-    ingest.publish(documents_as_items(spark, sf), f"{root}/records")
+    ingest.publish(documents_as_items(spark, sf, spread=True), f"{root}/records")
     table = ItemTable(spark, f"{root}/items")
     ingest.start_worker(
         ingest.read_records(spark, f"{root}/records"), table, f"{root}/checkpoint", f"{root}/dead", analyst,

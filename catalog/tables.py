@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsledger import schema as S
 from newsledger.functions.urls import dedup_key
-from newsledger.sources.tables import read_table
+from newsledger.sources.tables import read_table, spread_small
 
 EPOCH = 1704067200  # 2024-01-01
 
@@ -16,9 +16,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{table}.parquet")
 
 
-def documents_as_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """For work that is costly per row: a scan too small for the cluster is dealt out to all cores."""
+    return spread_small(read(spark, sf_dir, table))
+
+
+def documents_as_items(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Every document as an item: first line as title, language as category, one minute apart."""
-    docs = read(spark, sf_dir, "documents")
+    docs = (read_spread if spread else read)(spark, sf_dir, "documents")
     title = F.substring_index("text", "\n", 1)
     url = F.concat(F.lit("https://www.example.org/"), "source", F.lit("/"), F.col("doc_id").cast("string"))
     defaults = S.item_defaults()

@@ -16,6 +16,6 @@ def spread_small(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """A Parquet table, only the named columns when some are named, spread if small."""
+    """A Parquet table, only the named columns when some are named."""
     table = spark.read.parquet(path)
-    return spread_small(table.select(*columns) if columns else table)
+    return table.select(*columns) if columns else table

@@ -25,6 +25,21 @@ def publish_stream(spark, sf):
     return ingest.stream_records(documents_as_items(spark, sf, spread=True)).select("source", F.md5("payload").alias("payload_md5"))
 
 
+@register(
+    "consume_stream",
+    f"""WITH {ITEMS_SQL} SELECT source, md5(to_json({{'title': title, 'url': url, 'body': body,
+    'dedup_key': dedup_key}})::VARCHAR) AS payload_md5 FROM items""",
+)
+def consume_stream(spark, sf):
+    """Publishes the documents as files and reads every record of the stream exactly once."""
+    root = new_folder(spark)
+    ingest.publish(documents_as_items(spark, sf, spread=True), f"{root}/records")
+    ingest.read_records(spark, f"{root}/records", 2).writeStream.format("parquet").option(
+        "checkpointLocation", f"{root}/checkpoint"
+    ).trigger(availableNow=True).start(f"{root}/read").awaitTermination()
+    return spark.read.parquet(f"{root}/read").select("source", F.md5("payload").alias("payload_md5"))
+
+
 def _records(spark, sf):
     """Events as stream records: some without source, title or run id, some unreadable."""
     kind, number = F.col("event_type"), F.col("event_id").cast("string")

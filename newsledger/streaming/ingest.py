@@ -43,6 +43,16 @@ def read_records(spark: SparkSession, folder: str, max_files: int | None = None)
     return reader.json(folder)
 
 
+def records_from_log(log: DataFrame, value: str = "value") -> DataFrame:
+    """Records out of a log source whose ``value`` holds one JSON object per record.
+
+    The log's own start setting decides what is read first: from the beginning, or, as a consumer which
+    only wants what arrives from now on, from its end.
+    """
+    fields = F.from_json(F.col(value).cast("string"), S.STREAM_RECORD)
+    return log.select(fields.alias("record")).select("record.*")
+
+
 def canonical_uuid(text: Column) -> Column:
     """A UUID in hyphenated lower-case form, null for any other text."""
     digits = F.regexp_replace(F.regexp_replace(text, "urn:|uuid:", ""), r"^[{}]+|[{}]+$|-", "")

@@ -1,11 +1,13 @@
 from urllib.parse import urlparse
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsledger.functions.text import WHITESPACE
 from newsledger.functions.urls import absolutize, host_of, is_allowed
 from newsledger.operators import items, pages
 from newsledger.plans.collect import Source, collect_items
+from newsledger.sources.pages import pages_source
 from newsledger.sources.profiles import CENTRAL_BANK, REGULATOR, PageProfile
 from tests.conftest import plan_of
 
@@ -186,3 +188,14 @@ def test_items_and_records(spark):
     assert record.pipeline_run_id is None
     assert "target_roles" not in items.safe_columns(made).columns
     assert items.union_sources(made, made).count() == 4
+
+
+def test_pages_source_formats(spark, tmp_path):
+    df = page_table(spark, "<p>one\n</p>", "two")
+    for kind in ("parquet", "orc", "json"):
+        df.write.format(kind).save(f"{tmp_path}/{kind}")
+        read = pages_source(spark, f"{tmp_path}/{kind}", kind)
+        assert sorted(tuple(r) for r in read.select("page_id", "html").collect()) == [(0, "<p>one\n</p>"), (1, "two")]
+    df.drop("html").write.parquet(f"{tmp_path}/bad")
+    with pytest.raises(ValueError):
+        pages_source(spark, f"{tmp_path}/bad")

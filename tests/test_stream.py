@@ -96,3 +96,11 @@ def test_quarantine_policy_on_a_stream(spark, tmp_path):
     worker(spark, tmp_path, table, policy="quarantine")
     rows = table.read().collect()
     assert {r.importance for r in rows} == {10} and not any(r.is_analyzed for r in rows)
+
+
+def test_records_from_a_log(spark):
+    log = spark.createDataFrame(
+        [(bytearray(json.dumps({"source": "s", "payload": "{}", "pipeline_run_id": ""}).encode()),), (None,)], "value binary"
+    )
+    first, second = ingest.records_from_log(log).collect()
+    assert (first.source, first.payload) == ("s", "{}") and second.source is None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsledger.functions.text import strip
+from newsledger.functions.text import let, strip
 
 LINE_CHARS = 60
 MAX_LINES = 5
@@ -24,8 +24,11 @@ def report_text(title: Column, name: Column, summary: Column, content: Column, r
 def report_lines(text: Column, width: int = LINE_CHARS, limit: int = MAX_LINES) -> Column:
     """The text cut into lines of ``width`` characters, at most ``limit`` of them; none for ''."""
     starts = F.array(*[F.lit(i * width + 1) for i in range(limit)])
-    return F.transform(
-        F.filter(starts, lambda s: s <= F.length(text)), lambda s: F.substring(text, s, width)
+    return let(
+        text,
+        lambda t: F.transform(
+            F.filter(starts, lambda s: s <= F.length(t)), lambda s: F.substring(t, s, width)
+        ),
     )
 
 

@@ -58,7 +58,7 @@ def roles_to_ids(
     """
     if roles.limit(max_in_row + 1).count() <= max_in_row:
         pairs = F.collect_list(F.struct("role_name", "role_id"))
-        lookup = roles.groupBy("role_name").agg(F.min("role_id").alias("role_id"))
+        lookup = roles.filter(F.col("role_name").isNotNull()).groupBy("role_name").agg(F.min("role_id").alias("role_id"))
         ids = lookup.agg(F.map_from_entries(pairs)).scalar()
         held = items.withColumn("__ids", ids)
         found = F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda n: F.col("__ids")[n])

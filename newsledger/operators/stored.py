@@ -21,9 +21,10 @@ def known_keys(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """The stored keys which occur in ``incoming``.
 
     ``stored`` is the streamed side: an increment below the broadcast threshold moves no stored row,
-    and of both tables only the key column is read.
+    and of both tables only the key column is read. The incoming keys are made distinct first, map-side,
+    so a key with most of the increment is one row per task afterwards.
     """
-    return stored.select(key).join(incoming.select(key), key, "left_semi")
+    return stored.select(key).join(incoming.select(key).distinct(), key, "left_semi")
 
 
 def new_items(items: DataFrame, stored: DataFrame, key: str = "url") -> DataFrame:

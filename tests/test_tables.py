@@ -42,7 +42,9 @@ def test_small_increment_moves_no_stored_row(spark, table, tmp_path):
     table.write.parquet(f"{tmp_path}/old")
     old, new = spark.read.parquet(f"{tmp_path}/old"), spark.read.parquet(f"{tmp_path}/new")
     plan = plan_of(stored.upsert(old, new))
-    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+    # the only shuffle makes the incoming keys distinct
+    assert plan.count("hashpartitioning") == 1
 
 
 def test_hot_key_is_cut_before_the_shuffle(spark):
@@ -144,3 +146,26 @@ def test_item_table_versions(spark, tmp_path):
     changed.limit(0).write.parquet(f"{tmp_path}/items/rows/version=3")
     assert table.version() == 2 and table.read().count() == 2
     assert [f.name for f in table.read().schema] == [f.name for f in S.ITEMS]
+
+
+def test_hot_keys_without_any_broadcast(spark):
+    """A third of all rows share one key; every join is a shuffled one."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        key = "if(id % 3 = 0, 'hot', concat('u', id))"
+        new = spark.range(900).selectExpr(f"{key} url", f"{key} dedup_key", "id seq", "cast(id as string) title").repartition(4)
+        old = spark.range(450, 1350).selectExpr(f"{key} url", f"{key} dedup_key", "'old' title", "id kept")
+        fresh = stored.new_items(new, old)
+        assert fresh.count() == 300 and fresh.filter("url = 'hot'").count() == 0
+        assert stored.existing_urls(new, old).count() == 301
+        flags = stored.url_exists(new, old)
+        assert flags.count() == 900 and flags.filter("is_stored").count() == 600
+        assert stored.insert_if_absent(new, old.filter("url <> 'hot'")).count() == 301
+        unique = stored.last_per_key(old, "dedup_key", ["kept"])
+        done = stored.upsert(unique, new, order=["seq"])
+        assert done.count() == 901 and done.select("dedup_key").distinct().count() == 901
+        hot = done.filter("dedup_key = 'hot'").first()
+        assert hot.title == "897" and hot.kept == 1347
+        assert done.filter("title = 'old'").count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsledger.functions.text import contains_all, contains_any
+from newsledger.functions.text import contains_all, contains_any, let
 from newsledger.functions.urls import absolutize, is_allowed, is_allowed_after_redirect
 from newsledger.operators.ranking import first_per_group
 from newsledger.sources.html import read_page
@@ -50,16 +50,42 @@ def link_rows(read: DataFrame, profile: PageProfile, page_key: str = "page_id")
 
 
 def first_by_url(links: DataFrame, page_key: str = "page_id") -> DataFrame:
-    """The first link per page and URL. All links of a page start in one task, so the partial
-    aggregation removes the repeats before anything is shuffled."""
+    """The first link per page and URL, for links already in rows of their own. The partial aggregation
+    removes repeats within a task before anything is shuffled."""
     return links.groupBy(page_key, "url").agg(F.min(F.struct("pos", "title")).alias("first")).select(
         page_key, "first.pos", "first.title", "url"
     )
 
 
+def kept_links(links: Column, profile: PageProfile) -> Column:
+    """``array<struct<url,pos,title>>``: the links the profile keeps, the first one per URL.
+
+    Works inside the page's row: sorted by URL and position, a link counts when the one before it has
+    another URL.
+    """
+    entries = F.transform(
+        F.filter(links, lambda x: keeps_link(x["title"], x["href"], profile)),
+        lambda x: F.struct(
+            absolutize(x["href"], profile.base_url, profile.prefix).alias("url"),
+            x["pos"].alias("pos"),
+            x["title"].alias("title"),
+        ),
+    )
+    if profile.allow_hosts is not None:
+        entries = F.filter(entries, lambda x: is_allowed(x["url"], profile.allow_hosts))
+    return let(
+        F.array_sort(entries),
+        lambda rows: F.filter(rows, lambda x, i: (i == 0) | (F.get(rows, i - 1)["url"] != x["url"])),
+    )
+
+
 def extract_links(pages: DataFrame, profile: PageProfile, page_key: str = "page_id") -> DataFrame:
-    """Link entries ``(page_key, pos, title, url)``, first occurrence per URL within a page."""
-    return first_by_url(link_rows(read_pages(pages, profile), profile, page_key), page_key)
+    """Link entries ``(page_key, pos, title, url)``, first occurrence per URL within a page.
+
+    All links of a page come out of one row, so nothing is shuffled.
+    """
+    kept = kept_links(F.col("links"), profile)
+    return read_pages(pages, profile).select(page_key, F.inline(kept)).select(page_key, "pos", "title", "url")
 
 
 def extract_text(pages: DataFrame, profile: PageProfile) -> DataFrame:

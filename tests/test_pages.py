@@ -60,6 +60,15 @@ def test_central_bank_links_have_no_guard(spark):
     ]
 
 
+def test_first_by_url_in_rows_equals_first_by_url_in_the_page(spark):
+    html = "".join(f'<a title="t{i}" href="home.jsp?id=2&n={i * 7 % 5}">x</a>' for i in range(40))
+    raw = page_table(spark, html, html[:200], "")
+    in_rows = pages.first_by_url(pages.link_rows(pages.read_pages(raw, REGULATOR), REGULATOR))
+    in_page = pages.extract_links(raw, REGULATOR)
+    assert sorted(map(tuple, in_rows.collect())) == sorted(map(tuple, in_page.collect()))
+    assert in_page.filter("page_id = 0").count() == 5
+
+
 def bodies(spark, profile, *rows):
     found = pages.extract_text(page_table(spark, *rows), profile).orderBy("page_id").collect()
     return [r.body for r in found]
@@ -95,7 +104,7 @@ def test_broken_markup(spark):
 
 def test_pages_are_parsed_once(spark):
     df = pages.extract_links(page_table(spark, "<a title=x href='?id=2&'>"), REGULATOR)
-    assert plan_of(df).count("ArrowEvalPython") == 1
+    assert plan_of(df).count("ArrowEvalPython") == 1 and "Exchange" not in plan_of(df)
 
 
 def test_whitespace_equals_python():

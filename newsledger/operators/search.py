@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,14 @@ SIMILARITY_DIGITS = 9
 
 
 def title_ilike(items: DataFrame, query: str | None) -> DataFrame:
-    """Case-insensitive substring on the title; ``%`` and ``_`` in ``query`` stay wildcards."""
-    return items.filter(F.col("title").ilike(f"%{query}%")) if query else items
+    """Case-insensitive substring on the title; ``%`` and ``_`` in ``query`` stay wildcards.
+
+    A backslash takes the next character literally, whichever it is.
+    """
+    if not query:
+        return items
+    pattern = re.sub(r"(?s)\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], f"%{query}%")
+    return items.filter(F.col("title").ilike(pattern))
 
 
 def topk_recent(items: DataFrame, limit: int) -> DataFrame:

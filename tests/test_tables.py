@@ -125,6 +125,7 @@ def test_query(spark):
 
     assert urls() == ["k2", "k4", "k0", "k1", "k3"]  # no time first, newest next, ties by key
     assert urls(query="one") == ["k4", "k1", "k3"] and urls(query="o_e", category="d") == ["k3"]
+    assert urls(query="\\%x") == ["k3"] and urls(query="\\o\\ne") == ["k4", "k1", "k3"] and urls(query="x\\") == []
     assert urls(query="", category="") == urls() and urls(query="資安", limit=2) == ["k2", "k0"]
     assert urls(query="資安", role_name="r", roles=have) == ["k2", "k0"]
     assert urls(limit=4, role_name="r", roles=have) == ["k2", "k4", "k0", "k3"]

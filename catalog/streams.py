@@ -3,9 +3,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog import register
-from catalog.enrichment import _DONE, MASKED_SQL, analyst, letter_counter, shown
+from catalog import register, sql_pii
+from catalog.enrichment import _DONE, _TITLE_BODY, MASKED_SQL, _answers_sql, _with_vectors_sql, analyst, letter_counter, shown
+from catalog.extraction import ENTRIES_SQL, RUN_ID, page_entries
 from catalog.tables import ITEMS_SQL, documents_as_items, read_spread
+from newsledger import schema as S
+from newsledger.operators.items import to_items
+from newsledger.plans.store import write_items
 from newsledger.sources.item_table import ItemTable
 from newsledger.streaming import ingest
 
@@ -123,3 +127,16 @@ def stream_ingest(spark, sf):
         letter_counter, available_now=True,
     ).awaitTermination()
     return shown(table.read())
+
+
+@register(
+    "batch_job",
+    f"""WITH {ENTRIES_SQL}, page_items AS (SELECT *, sha256(url || title) AS dedup_key, 5 AS importance,
+      '{S.SCRAPE_CATEGORY}' AS category, substr(body, 1, {S.SUMMARY_CHARS}) AS summary FROM entries),
+    {_answers_sql("page_items", _TITLE_BODY, sql_pii.is_safe("body"))}, {_with_vectors_sql()} {_DONE}""",
+)
+def batch_job(spark, sf):
+    """Text out of every page, items, quarantine or analysis, vectors, into the table and back."""
+    table = ItemTable(spark, f"{new_folder(spark)}/items").ensure()
+    write_items(table, to_items(page_entries(spark, sf), RUN_ID), analyst, letter_counter)
+    return shown(table.read())

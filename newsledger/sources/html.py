@@ -76,6 +76,9 @@ class _PageReader(HTMLParser):
             if area.depth == depth:
                 area.open = False
 
+    def updatepos(self, i, j):  # line and column are not needed
+        return j
+
     def handle_starttag(self, tag, attrs):
         self._flush()
         values = {k: v or "" for k, v in attrs}

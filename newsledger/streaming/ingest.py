@@ -18,8 +18,8 @@ from newsledger.functions.text import let
 from newsledger.operators.enrich import Factory
 from newsledger.operators.items import to_items
 from newsledger.operators.ranking import first_per_group
-from newsledger.operators.stored import known_keys, new_items, upsert_items
-from newsledger.plans.process import process_items
+from newsledger.operators.stored import new_items
+from newsledger.plans.store import write_items
 from newsledger.sources.item_table import ItemTable
 
 
@@ -110,27 +110,16 @@ def write_batch(
     """Works off one micro-batch.
 
     Records that cannot be read go to a dead-letter folder of their own per batch, which a repeated
-    batch overwrites. A new URL nearly always means a new key; such rows go from the models straight
-    into the table. Only keys already stored make the table be rewritten. The decoded micro-batch is
-    cached while it is worked on (its size is bounded by the reader's settings).
+    batch overwrites. The decoded micro-batch is cached while it is worked on; its size is bounded by
+    the reader's settings.
     """
     decoded = decode_records(records).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         decoded.filter(F.col("decode_error").isNotNull()).select(
             "source", "payload", F.col("raw_run_id").alias("pipeline_run_id"), "decode_error"
         ).write.mode("overwrite").json(f"{dead_letters}/batch_id={batch_id}")
-        stored = table.read()
-        items = to_items(fresh_records(decoded, stored), F.col("pipeline_run_id"))
-        # One row per key as well: URL and title are joined without a separator.
-        items = first_per_group(items, ["dedup_key"], [F.col("url").asc()], 1)
-        clash = not known_keys(items, stored, "dedup_key").isEmpty()
-        done = process_items(items, analyse, vectorise, keep=clash, **options)
-        done = done.withColumn("created_at", F.current_timestamp())
-        if clash:
-            written = S.SAFE_COLUMNS + (("target_roles",) if options.get("roles") is not None else ())
-            table.replace(upsert_items(stored, done.select(*written)))
-        else:
-            table.append(done)
+        fresh = fresh_records(decoded, table.read())
+        write_items(table, to_items(fresh, F.col("pipeline_run_id")), analyse, vectorise, **options)
     finally:
         decoded.unpersist()
 

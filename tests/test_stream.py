@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from newsledger import schema as S
 from newsledger.operators.items import to_items
+from newsledger.plans.collect import Source
 from newsledger.plans.process import process_items
+from newsledger.plans.store import run_batch
 from newsledger.sources.item_table import ItemTable
+from newsledger.sources.profiles import CENTRAL_BANK, REGULATOR
 from newsledger.streaming import ingest
 
 
@@ -104,3 +107,30 @@ def test_records_from_a_log(spark):
     )
     first, second = ingest.records_from_log(log).collect()
     assert (first.source, first.payload) == ("s", "{}") and second.source is None
+
+
+def test_batch_job_twice(spark, tmp_path):
+    """Both built-in sources from list page to stored row; a second run adds nothing."""
+    pages = "page_id int, url string, html string"
+
+    def source(profile, host, prefix, link, container):
+        listing = "".join(f'<a title="{link} {i}" href="{link}{i}">x</a>' for i in range(3))
+        articles = [(i, f"{host}{prefix}{link}{i}", f"<div {container}>text {i} {link}</div>") for i in range(3)]
+        return Source(
+            profile, spark.createDataFrame([(1, f"{host}/list", listing)], pages), spark.createDataFrame(articles, pages)
+        )
+
+    sources = [
+        source(REGULATOR, "https://www.fsc.gov.tw", "/ch/", "home.jsp?id=2&n=", "id='content'"),
+        source(CENTRAL_BANK, "https://www.cbc.gov.tw", "/tw/", "cp-302-", "class='cp'"),
+    ]
+    table = ItemTable(spark, f"{tmp_path}/items").ensure()
+    run = run_batch(table, sources, analyst, vectors, limit=2)
+    rows = table.read().orderBy("url").collect()
+    assert len(rows) == 4 and {r.pipeline_run_id for r in rows} == {run} and all(r.is_analyzed for r in rows)
+    assert [r.body for r in rows] == ["text 0 cp-302-", "text 1 cp-302-", "text 0 home.jsp?id=2&n=", "text 1 home.jsp?id=2&n="]
+    assert {r.source for r in rows} == {"金管會", "中央銀行"}
+    run_batch(table, sources, analyst, vectors, limit=2)
+    assert table.read().count() == 4 and table.version() == 1
+    run_batch(table, sources, analyst, vectors)
+    assert table.read().count() == 6

@@ -11,23 +11,24 @@ from newsledger import schema as S
 from newsledger.operators.enrich import Factory
 from newsledger.operators.ranking import first_per_group
 from newsledger.operators.stored import known_keys, upsert_items
-from newsledger.plans.collect import Source, collect_items
+from newsledger.plans.collect import Source, collect_entries, items_of
 from newsledger.plans.process import process_items
 from newsledger.sources.item_table import ItemTable
 
 
 def write_items(
-    table: ItemTable, items: DataFrame, analyse: Factory, vectorise: Factory, **options
+    table: ItemTable, items: DataFrame, analyse: Factory, vectorise: Factory,
+    keys: DataFrame | None = None, **options,
 ) -> None:
-    """Processes items and writes them by key.
+    """Processes items, one per key, and writes them by key.
 
     Items with a new URL nearly always have a new key too; they go from the models straight into the
     table, without touching a stored row. Only if a key is stored already (URL and title are joined
     without a separator, so two pairs may share one) the result is kept and the table rewritten.
+    ``keys`` names the items' keys where they can be had more cheaply than from ``items``.
     """
     stored = table.read()
-    items = first_per_group(items, ["dedup_key"], [F.col("url").asc(), F.col("title").asc()], 1)
-    clash = not known_keys(items, stored, "dedup_key").isEmpty()
+    clash = not known_keys(items if keys is None else keys, stored, "dedup_key").isEmpty()
     done = process_items(items, analyse, vectorise, keep=clash, **options)
     done = done.withColumn("created_at", F.current_timestamp())
     if clash:
@@ -43,5 +44,9 @@ def run_batch(
 ) -> str:
     """Collects the new items of all sources and stores them; gives the run's id."""
     run_id = run_id or str(uuid.uuid4())
-    write_items(table, collect_items(sources, table.read(), run_id, limit), analyse, vectorise, **options)
+    entries = collect_entries(sources, table.read(), limit)
+    # One entry per key, chosen among narrow rows before any text is joined.
+    order = [F.col(c).asc() for c in ("site", "url", "title")]
+    entries = first_per_group(entries, ["dedup_key"], order, 1)
+    write_items(table, items_of(entries, sources, run_id), analyse, vectorise, entries, **options)
     return run_id

@@ -119,7 +119,10 @@ def write_batch(
             "source", "payload", F.col("raw_run_id").alias("pipeline_run_id"), "decode_error"
         ).write.mode("overwrite").json(f"{dead_letters}/batch_id={batch_id}")
         fresh = fresh_records(decoded, table.read())
-        write_items(table, to_items(fresh, F.col("pipeline_run_id")), analyse, vectorise, **options)
+        items = to_items(fresh, F.col("pipeline_run_id"))
+        # One row per key as well: URL and title are joined without a separator.
+        items = first_per_group(items, ["dedup_key"], [F.col("url").asc()], 1)
+        write_items(table, items, analyse, vectorise, **options)
     finally:
         decoded.unpersist()
 

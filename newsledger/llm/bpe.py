@@ -102,7 +102,7 @@ class MergeTable:
 class BatchedBpe(ChunkEncoder):
     """``encode(texts)``: one flat array of ids and the number of ids per text, by merge rounds."""
 
-    def __init__(self, path: str, kept: int = 1_200_000):
+    def __init__(self, path: str, kept: int = 900_000):
         self.table = MergeTable(path)
         self.words = regex.compile(WORDS)
         special = "|".join(map(regex.escape, sorted(self.table.special, key=len, reverse=True)))

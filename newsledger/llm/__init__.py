@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("token_files", "packing", "exact", "quality", "ppm", "bpe", "templates", "toxicity")
+MODULES = ("embeddings", "token_files", "packing", "exact", "quality", "ppm", "bpe", "templates", "toxicity")
 
 
 def query(name: str, sql: str | None = None):

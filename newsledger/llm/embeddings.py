@@ -190,6 +190,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int = 10, p
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-@query("op1_lattice")
+@query("op1_lattice", """
+    WITH RECURSIVE
+    vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL),
+    fine AS (SELECT * FROM vectors WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(e, lambda x: abs(x))) > 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT b, root FROM reach JOIN links ON a = vec_id),
+    degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT r.vec_id, coalesce(n, 0) AS n_links, min(root) AS component_id, r.vec_id = min(root) AS kept
+    FROM reach r LEFT JOIN degrees ON a = r.vec_id GROUP BY r.vec_id, n
+""")
 def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -21,4 +21,4 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from catalog import enrichment, extraction, identity, pii, reporting, search, streams  # noqa: F401
+    from catalog import enrichment, extraction, identity, pii, reporting, rules, search, sites, streams  # noqa: F401

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from catalog import register, sql_pii
-from catalog.tables import ITEMS_SQL, documents_as_items, read, read_spread
+from catalog.tables import ITEMS_SQL, documents_as_items, read
 from newsledger import schema as S
 from newsledger.functions import analysis as A
 from newsledger.functions.vectors import safe_vector as usable_or_constant
@@ -14,10 +14,11 @@ from newsledger.operators.quality import contract_check as check_contract
 from newsledger.plans.process import process_items
 
 
-def _prompt_sql(title: str, content: str) -> str:
+def _prompt_sql(title: str, content: str, chars: int | None = None) -> str:
+    content = content if chars is None else f"substr({content}, 1, {chars})"
     return (
         f"'{A._OPENING}' || chr(10) || '標題：' || {title} || chr(10) || '<content>' || chr(10) || "
-        f"substr({content}, 1, {S.PROMPT_CHARS}) || chr(10) || '</content>' || chr(10) || '{A._CLOSING}'"
+        f"{content} || chr(10) || '</content>' || chr(10) || '{A._CLOSING}'"
     )
 
 
@@ -95,15 +96,21 @@ answered AS (SELECT * EXCLUDE (summary, importance),
 _TITLE_BODY = _prompt_sql("title", "body")
 
 
+_CUT = _prompt_sql("title", "body", S.PROMPT_CHARS)
+
+
 @register(
     "build_prompt",
-    f"WITH {ITEMS_SQL} SELECT dedup_key, md5({_TITLE_BODY}) AS prompt_md5, "
+    f"WITH {ITEMS_SQL} SELECT dedup_key, md5({_TITLE_BODY}) AS prompt_md5, md5({_CUT}) AS cut_md5, "
     f"length({_TITLE_BODY}) AS n_chars FROM items",
 )
 def build_prompt(spark, sf):
-    prompt = A.build_prompt(F.col("title"), F.col("body"))
-    return documents_as_items(spark, sf, spread=True).select(
-        "dedup_key", F.md5(prompt).alias("prompt_md5"), F.length(prompt).cast("bigint").alias("n_chars")
+    """With the whole text, and with the bound on its length that a caller may set."""
+    title, body = F.col("title"), F.col("body")
+    prompt = A.build_prompt(title, body)
+    return documents_as_items(spark, sf).select(
+        "dedup_key", F.md5(prompt).alias("prompt_md5"), F.md5(A.build_prompt(title, body, S.PROMPT_CHARS)).alias("cut_md5"),
+        F.length(prompt).cast("bigint").alias("n_chars"),
     )
 
 
@@ -115,7 +122,7 @@ def build_prompt(spark, sf):
 )
 def enrich(spark, sf):
     prompt = A.build_prompt(F.col("title"), F.col("body"))
-    done = enrich_rows(documents_as_items(spark, sf, spread=True).withColumn("prompt", prompt), "prompt", analyst)
+    done = enrich_rows(documents_as_items(spark, sf).withColumn("prompt", prompt), "prompt", analyst)
     a = F.col("analysis")
     return done.select(
         "dedup_key", a["summary"].alias("summary"), a["category"].alias("category"),
@@ -135,7 +142,7 @@ def enrich(spark, sf):
 )
 def row_error_isolation(spark, sf):
     prompt = A.build_prompt(F.col("title"), F.col("body"))
-    done = enrich_rows(documents_as_items(spark, sf, spread=True).withColumn("prompt", prompt), "prompt", analyst)
+    done = enrich_rows(documents_as_items(spark, sf).withColumn("prompt", prompt), "prompt", analyst)
     error = F.coalesce("analysis_error", F.lit("")).alias("error")
     return done.groupBy("source", error).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -155,7 +162,7 @@ def _raw_answers(spark, sf):
         .when(F.col("event_type") == "click", F.col("props"))
         .otherwise(good)
     )
-    return read_spread(spark, sf, "events").select("event_id", raw.alias("raw"))
+    return read(spark, sf, "events").select("event_id", raw.alias("raw"))
 
 
 _RAW_SQL = f"""
@@ -226,7 +233,7 @@ def attach_analysis(spark, sf):
     )
     raw = F.when(F.col("category") == "en", answer).when(F.col("category") != "fr", F.lit("{}"))
     parsed = F.when(raw.isNotNull(), A.parse_analysis(raw))
-    done = attach(documents_as_items(spark, sf, spread=True).withColumn("analysis", parsed))
+    done = attach(documents_as_items(spark, sf).withColumn("analysis", parsed))
     return done.select(
         "dedup_key", "summary", F.col("importance").cast("int").alias("importance"), "category", "is_analyzed",
         F.size("tags").alias("n_tags"),
@@ -246,7 +253,7 @@ vectors AS (SELECT dedup_key, CAST(count(DISTINCT b) AS INTEGER) AS n_nonzero, c
     SELECT dedup_key, {S.EMBEDDING_DIM} AS n_dims, n_nonzero, total FROM vectors""",
 )
 def embed(spark, sf):
-    every = documents_as_items(spark, sf, spread=True).withColumn("text", F.concat_ws(" ", "title", "summary"))
+    every = documents_as_items(spark, sf).withColumn("text", F.concat_ws(" ", "title", "summary"))
     done = embed_rows(every.select("dedup_key", "text"), "text", letter_counter)
     return done.select(
         "dedup_key", F.size("embedding").alias("n_dims"),
@@ -288,7 +295,7 @@ def safe_vector(spark, sf):
 )
 def contract_check(spark, sf):
     vectors = read(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    items = documents_as_items(spark, sf, spread=True).join(vectors, "doc_id", "left")
+    items = documents_as_items(spark, sf).join(vectors, "doc_id", "left")
     return check_contract(items.withColumn("dedup_key", F.sha2("body", 256)), dim=64)
 
 
@@ -317,7 +324,7 @@ def shown(done):
     f"""WITH {ITEMS_SQL}, {_answers_sql("items", _TITLE_BODY, sql_pii.is_safe("body"))}, {_with_vectors_sql()} {_DONE}""",
 )
 def process_items_quarantine(spark, sf):
-    return shown(process_items(documents_as_items(spark, sf, spread=True), analyst, letter_counter, keep=False))
+    return shown(process_items(documents_as_items(spark, sf), analyst, letter_counter, keep=False))
 
 
 MASKED_SQL = f"""
@@ -327,4 +334,4 @@ masked AS (SELECT * REPLACE ({sql_pii.mask("body")} AS body) FROM items),
 
 @register("process_items_mask", f"WITH {ITEMS_SQL}, {MASKED_SQL} {_DONE}")
 def process_items_mask(spark, sf):
-    return shown(process_items(documents_as_items(spark, sf, spread=True), analyst, letter_counter, "mask", keep=False))
+    return shown(process_items(documents_as_items(spark, sf), analyst, letter_counter, "mask", keep=False))

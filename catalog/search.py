@@ -83,6 +83,17 @@ def vector_topk(spark, sf):
     )
 
 
+@register(
+    "vector_topk_grid",
+    f"WITH {TOPK_SQL} SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, similarity FROM hits",
+)
+def vector_topk_grid(spark, sf):
+    """The same through the grid of cells, which many queries take."""
+    vectors = _vectors(spark, sf)
+    left, right = vectors.withColumnRenamed("vec_id", "query_id"), vectors.withColumnRenamed("vec_id", "doc_id")
+    return search.vector_topk(left, right, 3, max_values=8192)
+
+
 @register(
     "gap_context",
     f"""WITH {TOPK_SQL}, t AS (SELECT query_id, string_agg(coalesce(text, ''), chr(10) ORDER BY rank) AS context
@@ -128,9 +139,7 @@ def _count_characters():
 )
 def gap_report(spark, sf):
     vectors = _vectors(spark, sf).withColumnRenamed("vec_id", "doc_id")
-    every = documents_as_items(spark, sf).join(vectors, "doc_id")
-    found = gap.top_regulations(every, "the", "en")
-    keys = every.select("url", F.col("doc_id").alias("reg_id"), "vector")
-    documents = read(spark, sf, "documents").select("doc_id", "text").join(vectors, "doc_id", "right")
-    report = gap.gap_report(found.join(keys, "url"), documents, _count_characters)
+    known = documents_as_items(spark, sf).join(vectors.select("doc_id"), "doc_id", "left_semi")
+    found = gap.top_regulations(known, "the", "en", more=("doc_id",)).join(vectors, "doc_id").withColumnRenamed("doc_id", "reg_id")
+    report = gap.gap_report(found, vectors, read(spark, sf, "documents").select("doc_id", "text"), _count_characters)
     return report.select("title", "analysis_result", F.col("importance").cast("int").alias("importance"))

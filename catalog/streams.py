@@ -1,4 +1,3 @@
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -6,18 +5,18 @@ from pyspark.sql import functions as F
 from catalog import register, sql_pii
 from catalog.enrichment import _DONE, _TITLE_BODY, MASKED_SQL, _answers_sql, _with_vectors_sql, analyst, letter_counter, shown
 from catalog.extraction import ENTRIES_SQL, RUN_ID, page_entries
-from catalog.tables import ITEMS_SQL, documents_as_items, read_spread
+from catalog.tables import ITEMS_SQL, documents_as_items, read
 from newsledger import schema as S
 from newsledger.operators.items import to_items
 from newsledger.plans.store import write_items
+from newsledger.session import materialize, shared_folder
 from newsledger.sources.item_table import ItemTable
 from newsledger.streaming import ingest
 
 
 def new_folder(spark) -> str:
-    """A folder of its own below the cluster's shared checkpoint folder (a temporary one locally)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="newsledger-")
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A folder of its own below the cluster's shared checkpoint folder."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 @register(
@@ -26,7 +25,7 @@ def new_folder(spark) -> str:
     'dedup_key': dedup_key}})::VARCHAR) AS payload_md5 FROM items""",
 )
 def publish_stream(spark, sf):
-    return ingest.stream_records(documents_as_items(spark, sf, spread=True)).select("source", F.md5("payload").alias("payload_md5"))
+    return ingest.stream_records(documents_as_items(spark, sf)).select("source", F.md5("payload").alias("payload_md5"))
 
 
 @register(
@@ -37,7 +36,7 @@ def publish_stream(spark, sf):
 def consume_stream(spark, sf):
     """Publishes the documents as files and reads every record of the stream exactly once."""
     root = new_folder(spark)
-    ingest.publish(documents_as_items(spark, sf, spread=True), f"{root}/records")
+    ingest.publish(documents_as_items(spark, sf), f"{root}/records")
     ingest.read_records(spark, f"{root}/records", 2).writeStream.format("parquet").option(
         "checkpointLocation", f"{root}/checkpoint"
     ).trigger(availableNow=True).start(f"{root}/read").awaitTermination()
@@ -58,7 +57,7 @@ def _records(spark, sf):
     run = F.when(kind == "click", F.lit("")).when(kind == "view", F.lit("not-a-uuid")).when(
         kind == "purchase", F.concat(F.lit("{"), F.upper(F.substring(F.md5(number), 1, 32)), F.lit("}"))
     )
-    return read_spread(spark, sf, "events").select(
+    return read(spark, sf, "events").select(
         "event_id", F.when(kind != "click", kind).alias("source"), payload.alias("payload"), run.alias("pipeline_run_id")
     )
 
@@ -89,38 +88,53 @@ def decode_record(spark, sf):
 @register(
     "idempotent_skip",
     f"""WITH {_RECORDS_SQL}, stored AS (SELECT DISTINCT url FROM decoded WHERE event_type = 'purchase')
-    SELECT url, min(title) AS title FROM decoded WHERE decode_error IS NULL
+    SELECT url, coalesce('t' || min(CASE WHEN title <> '' THEN event_id END), '') AS title FROM decoded WHERE decode_error IS NULL
     AND url NOT IN (SELECT url FROM stored) GROUP BY url""",
 )
 def idempotent_skip(spark, sf):
-    decoded = ingest.decode_records(_records(spark, sf))
+    """The first event per URL, in the order in which they arrived."""
+    decoded = materialize(ingest.decode_records(_records(spark, sf).withColumn("arrived", F.col("event_id"))))
     stored = decoded.filter(F.col("source") == "purchase").select("url").distinct()
     return ingest.fresh_records(decoded, stored).select("url", "title")
 
 
 @register(
     "ack_or_retry",
-    f"""WITH {_RECORDS_SQL} SELECT decode_error, count(*) AS n_records FROM decoded
-    WHERE decode_error IS NOT NULL GROUP BY ALL""",
+    f"""WITH {_RECORDS_SQL}, bad AS (SELECT decode_error, count(*) AS n FROM decoded WHERE decode_error IS NOT NULL GROUP BY ALL)
+    SELECT decode_error, 3 * n AS n_records, n AS n_replayed FROM bad""",
 )
 def ack_or_retry(spark, sf):
-    """Unreadable records of a stream over the events end up in the dead-letter folder, nothing else."""
+    """Unreadable records of a stream over the events end up in the dead-letter folder, nothing else.
+
+    A second worker with a checkpoint of its own adds its letters, the first one's stay. Replaying publishes each letter once;
+    running the replay again publishes nothing.
+    """
     root = new_folder(spark)
     _records(spark, sf).drop("event_id").write.json(f"{root}/records")
     table = ItemTable(spark, f"{root}/items")
-    ingest.start_worker(
-        ingest.read_records(spark, f"{root}/records", 4), table, f"{root}/checkpoint", f"{root}/dead", analyst,
-        letter_counter, available_now=True,
-    ).awaitTermination()
-    letters = spark.read.schema("source string, payload string, pipeline_run_id string, decode_error string")
-    return letters.json(f"{root}/dead/batch_id=*").groupBy("decode_error").agg(F.count(F.lit(1)).alias("n_records"))
+
+    def work(checkpoint, records):
+        ingest.start_worker(
+            ingest.read_records(spark, records, 4), table, f"{root}/{checkpoint}", f"{root}/dead", analyst, letter_counter,
+            available_now=True,
+        ).awaitTermination()
+
+    work("first", f"{root}/records")
+    ingest.replay_dead_letters(spark, f"{root}/dead", f"{root}/again")
+    ingest.replay_dead_letters(spark, f"{root}/dead", f"{root}/again")
+    work("second", f"{root}/records")
+    work("third", f"{root}/again")
+    letters = ingest.dead_letters_of(spark, f"{root}/dead").groupBy("decode_error").agg(F.count(F.lit(1)).alias("n_records"))
+    again = spark.read.schema(S.STREAM_RECORD).json(f"{root}/again").select(F.lit("").alias("source"), "payload", "pipeline_run_id")
+    replayed = ingest.decode_records(again).groupBy("decode_error").agg(F.count(F.lit(1)).alias("n_replayed"))
+    return letters.join(replayed, "decode_error")
 
 
 @register("stream_ingest", f"WITH {ITEMS_SQL}, {MASKED_SQL} {_DONE}")
 def stream_ingest(spark, sf):
     """Publishes the documents, works the stream off in micro-batches and reads the table back."""
     root = new_folder(spark)
-    ingest.publish(documents_as_items(spark, sf, spread=True), f"{root}/records")
+    ingest.publish(documents_as_items(spark, sf), f"{root}/records")
     table = ItemTable(spark, f"{root}/items")
     ingest.start_worker(
         ingest.read_records(spark, f"{root}/records"), table, f"{root}/checkpoint", f"{root}/dead", analyst,

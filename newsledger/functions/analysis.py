@@ -43,13 +43,14 @@ _CLOSING = (
 )
 
 
-def build_prompt(title: Column, content: Column) -> Column:
-    """Instructions, title and the first 3,000 characters of the content between delimiters."""
+def build_prompt(title: Column, content: Column, chars: int | None = None) -> Column:
+    """Instructions, title and the content between delimiters: whole, or its first ``chars`` characters."""
+    content = or_empty(content)
     return F.concat(
         F.lit(_OPENING + "\n標題："),
         or_empty(title),
         F.lit("\n<content>\n"),
-        F.substring(or_empty(content), 1, S.PROMPT_CHARS),
+        content if chars is None else F.substring(content, 1, chars),
         F.lit("\n</content>\n" + _CLOSING),
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,17 +22,27 @@ BatchFunction = Callable[[list[str]], list]
 Factory = Callable[[], BatchFunction]
 
 
-def _answers(function: BatchFunction, texts: list[str]) -> list[tuple]:
+def _checked(answer, vectors: bool) -> tuple:
+    """(answer, error): the answer as text, or as a flat list of floats; anything else is an error of its row."""
+    if answer is None or not vectors and isinstance(answer, str):
+        return answer, None
+    if vectors and isinstance(answer, (list, tuple, np.ndarray)):
+        if all(isinstance(v, (int, float, np.number)) and not isinstance(v, bool) for v in answer):
+            return [float(v) for v in answer], None
+    return None, f"TypeError: answer is {type(answer).__name__}, not {'a list of numbers' if vectors else 'text'}"
+
+
+def _answers(function: BatchFunction, texts: list[str], vectors: bool = False) -> list[tuple]:
     """(answer, error) per text; after a failed batch each text is tried alone."""
     try:
         answers = list(function(texts))
         if len(answers) != len(texts):
             raise ValueError(f"{len(texts)} texts, {len(answers)} answers")
-        return [(a, None) for a in answers]
+        return [_checked(a, vectors) for a in answers]
     except Exception as error:  # noqa: BLE001 - a failing row must not fail the job
         if len(texts) == 1:
             return [(None, f"{type(error).__name__}: {error}")]
-        return [pair for text in texts for pair in _answers(function, [text])]
+        return [pair for text in texts for pair in _answers(function, [text], vectors)]
 
 
 def call_model(
@@ -45,6 +56,8 @@ def call_model(
     duplicates it nor moves it over other operators.
     """
 
+    vectors = answer_type != "string"
+
     @F.pandas_udf(f"answer {answer_type}, error string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         function = None
@@ -55,7 +68,7 @@ def call_model(
                 function = factory()
             for start in range(0, len(asked), batch_size):
                 chunk = asked[start : start + batch_size]
-                for i, pair in zip(chunk, _answers(function, [batch.iloc[i] for i in chunk])):
+                for i, pair in zip(chunk, _answers(function, [batch.iloc[i] for i in chunk], vectors)):
                     pairs[i] = pair
             yield pd.DataFrame(pairs, columns=["answer", "error"])
 

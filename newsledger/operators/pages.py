@@ -19,11 +19,11 @@ def redirect_guard(pages: DataFrame, hosts, url: str = "url", final_url: str = "
 
 
 def read_pages(pages: DataFrame, profile: PageProfile, html: str = "html") -> DataFrame:
-    """``links`` and ``body`` in place of the raw HTML: every page is parsed once for both."""
+    """``links``, ``body`` and ``parse_error`` in place of the raw HTML: every page is parsed once for all."""
     page = F.col("__page")
     return (
         pages.withColumn("__page", read_page(F.col(html), profile))
-        .withColumns({"links": page["links"], "body": page["body"]})
+        .withColumns({"links": page["links"], "body": page["body"], "parse_error": page["parse_error"]})
         .drop("__page", html)
     )
 
@@ -79,24 +79,29 @@ def kept_links(links: Column, profile: PageProfile) -> Column:
     )
 
 
-def extract_links(pages: DataFrame, profile: PageProfile, page_key: str = "page_id") -> DataFrame:
-    """Link entries ``(page_key, pos, title, url)``, first occurrence per URL within a page.
+def extract_links(pages: DataFrame, profile: PageProfile, page_key: str = "page_id", more: tuple[str, ...] = ()) -> DataFrame:
+    """Link entries ``(page_key, pos, title, url)``, first occurrence per URL within a page; ``more`` columns of the page go along.
 
     All links of a page come out of one row, so nothing is shuffled.
     """
     kept = kept_links(F.col("links"), profile)
-    return read_pages(pages, profile).select(page_key, F.inline(kept)).select(page_key, "pos", "title", "url")
+    more = tuple(c for c in more if c != page_key)
+    read = read_pages(pages.select(page_key, *more, "html"), profile)
+    return read.select(page_key, *[F.col(c).alias(f"__{c}") for c in more], F.inline(kept)).select(
+        page_key, "pos", "title", "url", *[F.col(f"__{c}").alias(c) for c in more]
+    )
 
 
-def extract_text(pages: DataFrame, profile: PageProfile) -> DataFrame:
-    """Pages with their article text as ``body`` instead of ``html``."""
-    return read_pages(pages, profile).drop("links")
+def extract_text(pages: DataFrame, profile: PageProfile, errors: bool = False) -> DataFrame:
+    """Pages with their article text as ``body`` instead of ``html``; with ``errors`` also why a page could not be read."""
+    read = read_pages(pages, profile).drop("links")
+    return read if errors else read.drop("parse_error")
 
 
 def limit_per_source(entries: DataFrame, limit: int = 5, order: list[Column] | None = None) -> DataFrame:
-    """The first ``limit`` entries per source in page order."""
+    """The first ``limit`` different URLs per source in page order; a URL counts where it is listed first."""
     order = order or [F.col("page_id"), F.col("pos")]
-    return first_per_group(entries, ["source"], order, limit)
+    return first_per_group(first_per_group(entries, ["source", "url"], order, 1), ["source"], order, limit)
 
 
 def link_entries(pages: DataFrame, profile: PageProfile, limit: int | None = None) -> DataFrame:
@@ -108,11 +113,14 @@ def link_entries(pages: DataFrame, profile: PageProfile, limit: int | None = Non
 def entry_bodies(entries: DataFrame, pages: DataFrame, profile: PageProfile) -> DataFrame:
     """Entries with the text of the stored page behind their URL, ``''`` where none is stored.
 
-    ``pages`` must hold one row per URL. With an allow-list only pages reached without leaving it count.
-    The join runs on ``(url, html)`` before parsing, so only pages that some entry asks for are parsed.
+    Of several pages with one URL the last fetch counts: the largest ``fetched_at`` or ``page_id``, if there is such a column, then the
+    largest hash of the page. With an allow-list only pages reached without leaving it count. The join runs before
+    parsing, so only pages that some entry asks for are parsed, each once.
     """
     if profile.allow_hosts is not None:
         pages = redirect_guard(pages, profile.allow_hosts)
     wanted = pages.join(entries.select("url").distinct(), "url", "left_semi")
+    order = [F.col(c).desc() for c in ("fetched_at", "page_id") if c in pages.columns] + [F.xxhash64("html").desc()]
+    wanted = first_per_group(wanted, ["url"], order, 1).select("url", "html")
     bodies = extract_text(wanted, profile).select("url", "body")
     return entries.join(bodies, "url", "left").withColumn("body", F.coalesce("body", F.lit("")))

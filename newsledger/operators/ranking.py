@@ -6,30 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to this many rows Spark itself cuts every map task's rows down to n per group before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-_MAP_SIDE_LIMIT = 1000
-_SALTS = 64
-
 
 def first_per_group(
     df: DataFrame, keys: list, order: list[Column], n: int = 1, rank: str | None = None
 ) -> DataFrame:
     """The first ``n`` rows per group in ``order``; ``rank`` names a column for the position.
 
-    For n <= 1000 the plan holds a partial group limit below the shuffle, so a group with a third of
-    all rows sends at most n rows per map task. For larger n, salted sub-groups are cut to n first.
+    Two cuts, whatever ``n``: a group is dealt into as many parts as there are shuffle partitions, by the partition its rows
+    come from, and each part is cut to ``n`` rows; then the group is cut. No task gets more than ``n`` rows of a group from
+    each part. (Up to n = 1000 Spark also cuts every map task's rows before the first shuffle.)
     """
     name = rank or "__rank"
-    if n > _MAP_SIDE_LIMIT:
-        salt = F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS))
-        inner = Window.partitionBy(*keys, "__salt").orderBy(*order)
-        df = (
-            df.withColumn("__salt", salt)
-            .withColumn("__in_salt", F.row_number().over(inner))
-            .filter(F.col("__in_salt") <= n)
-            .drop("__salt", "__in_salt")
-        )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(parts)))
+    inner = Window.partitionBy(*keys, "__part").orderBy(*order)
+    cut = dealt.withColumn("__in_part", F.row_number().over(inner)).filter(F.col("__in_part") <= n).drop("__part", "__in_part")
     outer = Window.partitionBy(*keys).orderBy(*order)
-    df = df.withColumn(name, F.row_number().over(outer)).filter(F.col(name) <= n)
-    return df if rank else df.drop(name)
+    found = cut.withColumn(name, F.row_number().over(outer)).filter(F.col(name) <= n)
+    return found if rank else found.drop(name)

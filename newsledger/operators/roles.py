@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from newsledger import schema as S
 from newsledger.operators.stored import insert_if_absent, last_per_key
 
-# A role table up to this size is looked up inside the row; a larger one is joined.
-MAX_ROLES_IN_ROW = 2000
-
-
 def seed_roles(spark: SparkSession, stored: DataFrame | None = None) -> DataFrame:
     """The built-in roles not stored yet, ready to append."""
     roles = spark.createDataFrame(S.SEED_ROLES, "role_name string, description string").select(
@@ -47,33 +43,20 @@ def role_filter(
     return items.filter(allowed)
 
 
-def roles_to_ids(
-    items: DataFrame, roles: DataFrame, names: str = "role_names", out: str = "target_roles",
-    key: str = "dedup_key", max_in_row: int = MAX_ROLES_IN_ROW,
-) -> DataFrame:
-    """Sorted distinct ids of the role names in ``names``; unknown names are dropped.
+def roles_to_ids(items: DataFrame, roles: DataFrame, names: str = "role_names", out: str = "target_roles") -> DataFrame:
+    """Sorted distinct ids of the role names in ``names``; unknown names are dropped, a name has one id (the smallest).
 
-    While the role table has at most ``max_in_row`` rows (counted first) it travels as one map value and
-    items are not shuffled; beyond that the names are joined. ``key`` must identify an item.
+    The ids are found once per distinct list of names and joined back by that list, so items need no key and each keeps
+    its row. Adaptive execution decides what is broadcast.
     """
-    if roles.limit(max_in_row + 1).count() <= max_in_row:
-        pairs = F.collect_list(F.struct("role_name", "role_id"))
-        lookup = roles.filter(F.col("role_name").isNotNull()).groupBy("role_name").agg(F.min("role_id").alias("role_id"))
-        ids = lookup.agg(F.map_from_entries(pairs)).scalar()
-        held = items.withColumn("__ids", ids)
-        found = F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda n: F.col("__ids")[n])
-        return held.withColumn(out, F.array_sort(F.array_distinct(F.array_compact(found)))).drop("__ids")
+    ids = roles.filter(F.col("role_name").isNotNull()).groupBy("role_name").agg(F.min("role_id").alias("role_id"))
+    lists = items.select(F.col(names).alias("__names")).filter(F.size("__names") > 0).distinct()
     found = (
-        items.select(key, F.explode(names).alias("role_name"))
-        .join(role_map(roles), "role_name")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_set("role_id")).alias(out))
-    )
-    return (
-        items.drop(out)
-        .join(found, key, "left")
-        .withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+        lists.select("__names", F.explode("__names").alias("role_name")).join(ids, "role_name")
+        .groupBy("__names").agg(F.array_sort(F.collect_set("role_id")).alias("__ids"))
     )
+    joined = items.drop(out).join(found, F.col(names) == F.col("__names"), "left")
+    return joined.withColumn(out, F.coalesce("__ids", F.array().cast("array<string>"))).drop("__names", "__ids")
 
 
 def preferences_get(preferences: DataFrame, role_name: str) -> DataFrame:

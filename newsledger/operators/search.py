@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from newsledger.operators.ranking import first_per_group
 from newsledger.operators.roles import role_filter as by_role
+from newsledger.session import materialize
 
 QUERY_COLUMNS = ("title", "summary", "importance", "category", "published_at", "url")
 # Most numbers (query vectors times dimension) sent to every task: 16 MiB of doubles.
 MAX_BROADCAST_VALUES = 2 * 1024 * 1024
+MAX_SIMILARITIES = 4 * 1024 * 1024
 SIMILARITY_DIGITS = 9
 
 
@@ -38,9 +40,9 @@ def topk_recent(items: DataFrame, limit: int) -> DataFrame:
 def intel_query(
     items: DataFrame, query: str | None = None, category: str | None = None,
     role_name: str | None = None, roles: DataFrame | None = None, limit: int = 5,
-    role_filter: str = "before_limit", strict: bool = False,
+    role_filter: str = "before_limit", strict: bool = False, more: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Newest items by keyword and category, six columns; ``None`` and '' filter nothing.
+    """Newest items by keyword and category, six columns and ``more``; ``None`` and '' filter nothing.
 
     With ``role_filter='after_limit'`` the role is checked on the ``limit`` rows found, so fewer may
     come back.
@@ -53,7 +55,7 @@ def intel_query(
     found = topk_recent(found, limit)
     if role_name and role_filter == "after_limit":
         found = by_role(found, roles, role_name, strict)
-    return found.select(*QUERY_COLUMNS)
+    return found.select(*QUERY_COLUMNS, *more)
 
 
 def _unit_rows(vectors) -> np.ndarray:
@@ -62,8 +64,28 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _k_best(queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int):
-    """Per query the (similarities, ids) of its k best documents, best first, ties by id."""
+def _k_best(queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per query the (similarities, ids) of its k best documents, best first, ties by id.
+
+    Documents are taken in slices, so that at most ``MAX_SIMILARITIES`` numbers (and k per query) are held at once.
+    """
+    step, best = max(1, MAX_SIMILARITIES // max(1, len(queries))), None
+    for start in range(0, len(docs), step):
+        found = list(_k_best_of_slice(queries, doc_ids[start:start + step], docs[start:start + step], k))
+        best = found if best is None else _merged(best, found, k)
+    return best or []
+
+
+def _merged(best: list, found: list, k: int) -> list:
+    out = []
+    for (s1, d1), (s2, d2) in zip(best, found):
+        sims, ids = np.concatenate([s1, s2]), np.concatenate([d1, d2])
+        order = sorted(range(len(sims)), key=lambda i: (-sims[i], ids[i]))[:k]
+        out.append((sims[order], ids[order]))
+    return out
+
+
+def _k_best_of_slice(queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int):
     sims = np.round(queries @ docs.T, SIMILARITY_DIGITS) + 0.0
     if sims.shape[1] > k:
         kth = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
@@ -95,15 +117,8 @@ def _nearest_per_task(documents: DataFrame, queries: DataFrame, k: int, schema:
         for batch in batches:
             if batch.empty:
                 continue
-            found = list(
-                _k_best(matrix, batch["doc_id"].to_numpy(dtype=object), _unit_rows(batch["vector"]), k)
-            )
-            if best is not None:
-                for q, ((s1, d1), (s2, d2)) in enumerate(zip(best, found)):
-                    sims, ids = np.concatenate([s1, s2]), np.concatenate([d1, d2])
-                    order = sorted(range(len(sims)), key=lambda i: (-sims[i], ids[i]))[:k]
-                    found[q] = (sims[order], ids[order])
-            best = found
+            found = _k_best(matrix, batch["doc_id"].to_numpy(dtype=object), _unit_rows(batch["vector"]), k)
+            best = found if best is None else _merged(best, found, k)
         if best is not None:
             yield _result(query_ids, best)
 
@@ -113,9 +128,10 @@ def _nearest_per_task(documents: DataFrame, queries: DataFrame, k: int, schema:
 def _nearest_in_grid(
     documents: DataFrame, queries: DataFrame, k: int, schema: str, blocks: int, slices: int
 ) -> DataFrame:
-    """Many queries: query blocks and document slices meet in a grid of bounded cells.
+    """Many queries: query blocks and document slices meet in a grid of cells, cut evenly by hashed ids.
 
-    Every cell is a group of its own, cut evenly by hashed ids, and hands on k documents per query.
+    A cell holds about ``max_values`` numbers of queries, eight times as many of documents and ``MAX_SIMILARITIES`` similarities
+    (16, 128 and 32 MiB by default), and hands on k documents per query.
     """
 
     def numbers(n: int):
@@ -129,7 +145,7 @@ def _nearest_in_grid(
         if asked.empty or stored.empty:
             return pd.DataFrame({"query_id": [], "doc_id": [], "similarity": []})
         ids = stored["doc_id"].to_numpy(dtype=object)
-        best = list(_k_best(_unit_rows(asked["vector"]), ids, _unit_rows(stored["vector"]), k))
+        best = _k_best(_unit_rows(asked["vector"]), ids, _unit_rows(stored["vector"]), k)
         return _result(list(asked["query_id"]), best)
 
     return (
@@ -146,13 +162,15 @@ def vector_topk(
     ``max_values`` numbers they are sent to every task and ``documents (doc_id, vector)`` is scanned
     once without a shuffle; beyond that, both sides meet in a grid of cells of bounded size. Pairs are
     never written out: a task or cell keeps k documents per query. Similarities are rounded to nine
-    digits before ranking, ties go by ``doc_id``; a zero vector has similarity 0.
+    digits before ranking, ties go by ``doc_id``; a zero vector has similarity 0. The longest query vector sets the length;
+    vectors of another length are neither asked for nor found. The query side is evaluated once.
     """
-    queries = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
+    queries = materialize(queries.select("query_id", "vector").filter(F.col("vector").isNotNull()))
     documents = documents.select("doc_id", "vector").filter(F.col("vector").isNotNull())
     n_queries, dim = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
     id_types = [queries.schema["query_id"].dataType, documents.schema["doc_id"].dataType]
     schema = "query_id {}, doc_id {}, similarity double".format(*(t.simpleString() for t in id_types))
+    queries, documents = (df.filter(F.size("vector") == dim) for df in (queries, documents))
     blocks = -(-n_queries * dim // max_values)
     if n_queries == 0:
         found = documents.sparkSession.createDataFrame([], schema)

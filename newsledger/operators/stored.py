@@ -9,14 +9,6 @@ from newsledger import schema as S
 from newsledger.operators.ranking import first_per_group
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Spark's own size estimate of ``df`` lies below its broadcast threshold."""
-    session = df.sparkSession
-    limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def known_keys(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """The stored keys which occur in ``incoming``.
 
@@ -30,14 +22,10 @@ def known_keys(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
 def new_items(items: DataFrame, stored: DataFrame, key: str = "url") -> DataFrame:
     """Items whose key is not stored. Repeats inside ``items`` stay, null keys count as new.
 
-    A stored table whose keys fit a broadcast is compared directly. Beyond that the keys which occur on
-    both sides are found first, on the key columns alone; that set is no larger than the increment, so
-    the wide items usually need no shuffle. Where they do, adaptive execution splits a hot key.
+    Of the stored table only the key column is read; whether it is broadcast or shuffled is left to adaptive execution,
+    which also splits a hot key.
     """
-    keys = stored.select(key)
-    if not fits_broadcast(keys):
-        keys = known_keys(items, stored, key)
-    return items.join(keys, key, "left_anti").select(items.columns)
+    return items.join(stored.select(key), key, "left_anti").select(items.columns)
 
 
 def existing_urls(urls: DataFrame, stored: DataFrame) -> DataFrame:
@@ -55,9 +43,17 @@ def url_exists(items: DataFrame, stored: DataFrame, flag: str = "is_stored") ->
     )
 
 
-def insert_if_absent(incoming: DataFrame, stored: DataFrame, key: str = "dedup_key") -> DataFrame:
-    """The rows to append: one per key which is not stored yet. Stored rows stay untouched."""
-    return new_items(incoming.dropDuplicates([key]), stored, key)
+def insert_if_absent(
+    incoming: DataFrame, stored: DataFrame, key: str = "dedup_key", order: list[str | Column] | None = None
+) -> DataFrame:
+    """The rows to append: one per key which is not stored yet. Stored rows stay untouched.
+
+    Of several incoming rows with one key the first in ``order`` stays, by default the first by the hash of its values, so
+    the choice never depends on how the rows are dealt out.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in order or []]
+    order += [F.xxhash64(*[F.col(c).cast("string") for c in sorted(incoming.columns)])]
+    return first_per_group(new_items(incoming, stored, key), [key], order, 1)
 
 
 def last_per_key(incoming: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
@@ -72,22 +68,23 @@ def upsert(
     key: str = "dedup_key",
     order: list[str | Column] | None = None,
     defaults: dict[str, Column] | None = None,
+    update: list[str] | tuple[str, ...] | None = None,
 ) -> DataFrame:
     """The table after inserting or updating by ``key``.
 
     Only columns ``incoming`` has are overwritten, nulls included; the others keep their stored value.
-    New rows take ``defaults`` (else null) for what they lack. With several incoming rows per key the
-    last in ``order`` counts; without ``order`` the keys must be unique.
+    ``update`` names the columns that a stored row may get; new rows get all. New rows take ``defaults`` (else null) for what
+    they lack. With several incoming rows per key the last in ``order`` counts (by default in order of the hash of their values).
 
     A left join for the updates plus the unmatched incoming rows, rather than a full outer join: an
     increment below the broadcast threshold then moves no stored row at all.
     """
     defaults = defaults or {}
-    if order:
-        incoming = last_per_key(incoming, key, order)
+    order = order or [F.xxhash64(*[F.col(c).cast("string") for c in sorted(incoming.columns)])]
+    incoming = last_per_key(incoming, key, order)
     incoming = incoming.select([c for c in incoming.columns if c in stored.columns])
     types = {f.name: f.dataType for f in stored.schema.fields}
-    given = [c for c in incoming.columns if c != key]
+    given = [c for c in incoming.columns if c != key and (update is None or c in update)]
     change = incoming.select(
         F.col(key).alias("__key"), F.struct(F.lit(True).alias("__hit"), *given).alias("__new")
     )
@@ -113,6 +110,6 @@ def upsert(
     return updated.unionByName(inserted)
 
 
-def upsert_items(stored: DataFrame, incoming: DataFrame, order: list | None = None) -> DataFrame:
+def upsert_items(stored: DataFrame, incoming: DataFrame, order: list | None = None, update=None) -> DataFrame:
     """``upsert`` of items by ``dedup_key`` with the table's column defaults."""
-    return upsert(stored, incoming, "dedup_key", order, S.item_defaults())
+    return upsert(stored, incoming, "dedup_key", order, S.item_defaults(), update)

@@ -23,7 +23,7 @@ class Source:
     article_pages: DataFrame
 
 
-def collect_entries(sources: list[Source], stored: DataFrame, limit: int | None = 10) -> DataFrame:
+def collect_entries(sources: list[Source], stored: DataFrame, limit: int | None = None) -> DataFrame:
     """New entries ``(site, source, title, url, dedup_key)`` of all sources, kept.
 
     Narrow rows, found before any article page is read and kept because they are used several times, so
@@ -50,7 +50,7 @@ def items_of(entries: DataFrame, sources: list[Source], run_id: str | None = Non
 
 
 def collect_items(
-    sources: list[Source], stored: DataFrame, run_id: str | None = None, limit: int | None = 10
+    sources: list[Source], stored: DataFrame, run_id: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """New items of all sources. Known articles are never parsed; repeats between sources stay."""
     return items_of(collect_entries(sources, stored, limit), sources, run_id)

@@ -13,15 +13,15 @@ from newsledger.session import materialize
 # What the report asks for and says.
 KEYWORD, CATEGORY, TOP_REGULATIONS, TOP_DOCUMENTS = "資安", "法遵", 3, 3
 NO_CHANGES = "目前無重大相關法規異動。"
-_TASK = "你是金控資安合規專家，請比對外部法規與內部系統現況，指出落差。"
-_WANTED = "請列出：1. 法規要求 2. 內部現況 3. 符合程度(高/中/低) 4. 改善建議。"
+_TASK = "以下為一則新法規，以及與其最接近的內部文件。請說明公司目前的做法離法規還有多遠。"
+_WANTED = "回答分四段：法規規定了什麼、公司已做到什麼、差距屬於大、中或小、接下來該改什麼。"
 
 
 def top_regulations(
-    items: DataFrame, keyword: str = KEYWORD, category: str = CATEGORY, limit: int = TOP_REGULATIONS
+    items: DataFrame, keyword: str = KEYWORD, category: str = CATEGORY, limit: int = TOP_REGULATIONS, more: tuple[str, ...] = ()
 ) -> DataFrame:
     """The newest regulations by keyword and category; no row means there are no changes to report."""
-    return intel_query(items, keyword, category, limit=limit)
+    return intel_query(items, keyword, category, limit=limit, more=more)
 
 
 def regulations_message(regulations: DataFrame) -> str | None:
@@ -56,17 +56,17 @@ def gap_prompt(regulation: Column, context: Column) -> Column:
 
 
 def gap_report(
-    regulations: DataFrame, documents: DataFrame, factory: Factory, k: int = TOP_DOCUMENTS
+    regulations: DataFrame, vectors: DataFrame, texts: DataFrame, factory: Factory, k: int = TOP_DOCUMENTS
 ) -> DataFrame:
     """``(title, analysis_result, importance, analysis_error)`` per regulation.
 
-    ``regulations (reg_id, title, summary, importance, vector)``,
-    ``documents (doc_id, text, vector)``; the model answers in free text.
+    ``regulations (reg_id, title, summary, importance, vector)``, ``vectors (doc_id, vector)``, ``texts (doc_id, text)``;
+    texts are joined to hits only. The model answers in free text.
     """
     # A handful of rows, but costly to find: kept, so the item table is searched once.
     regulations = materialize(regulations)
-    hits = vector_topk(regulations.select(F.col("reg_id").alias("query_id"), "vector"), documents, k)
-    context = gap_context(hits, documents).withColumnRenamed("query_id", "reg_id")
+    hits = vector_topk(regulations.select(F.col("reg_id").alias("query_id"), "vector"), vectors, k)
+    context = gap_context(hits, texts).withColumnRenamed("query_id", "reg_id")
     asked = regulations.join(context, "reg_id", "left").withColumn(
         "__prompt", gap_prompt(F.col("summary"), F.col("context"))
     )

@@ -19,7 +19,7 @@ def process_items(
     items: DataFrame, analyse: Factory, vectorise: Factory, policy: str = "quarantine",
     columns: tuple[str, ...] = ("body",), scanner: PiiScanner | None = None,
     roles: DataFrame | None = None, dim: int = S.EMBEDDING_DIM, partitions: int | None = None,
-    keep: bool = True,
+    keep: bool = True, prompt_chars: int | None = None,
 ) -> DataFrame:
     """Items ready to be written.
 
@@ -27,6 +27,8 @@ def process_items(
     importance and the constant vector, keep the raw body and never reach the model. ``policy='mask'``:
     those columns are masked, every item is analysed and the masked text is stored.
 
+    ``prompt_chars`` bounds how much of a body the model gets; by default it gets all.
+
     No branch is split off and united again; a null prompt keeps an item away from the model. With
     ``keep`` the result is written to the checkpoint folder once, so reading it twice does not call
     the models again.
@@ -40,7 +42,7 @@ def process_items(
         work = work.withColumn("summary", F.substring("body", 1, S.SUMMARY_CHARS))
     else:
         work = items.withColumn("is_quarantined", ~is_cloud_safe(columns, scanner))
-    prompt = F.when(~F.col("is_quarantined"), build_prompt(F.col("title"), F.col("body")))
+    prompt = F.when(~F.col("is_quarantined"), build_prompt(F.col("title"), F.col("body"), prompt_chars))
     work = enrich(work.withColumn("__prompt", prompt), "__prompt", analyse, partitions=partitions)
     work = attach_analysis(work.drop("__prompt"))
     hit = F.col("is_quarantined")

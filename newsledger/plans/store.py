@@ -13,36 +13,47 @@ from newsledger.operators.ranking import first_per_group
 from newsledger.operators.stored import known_keys, upsert_items
 from newsledger.plans.collect import Source, collect_entries, items_of
 from newsledger.plans.process import process_items
-from newsledger.sources.item_table import ItemTable
+from newsledger.session import materialize
+from newsledger.sources.item_table import ERRORS, ItemTable
 
 
 def write_items(
     table: ItemTable, items: DataFrame, analyse: Factory, vectorise: Factory,
     keys: DataFrame | None = None, **options,
 ) -> None:
-    """Processes items, one per key, and writes them by key.
+    """Processes items and writes them by key, one per key.
 
-    Items with a new URL nearly always have a new key too; they go from the models straight into the
-    table, without touching a stored row. Only if a key is stored already (URL and title are joined
-    without a separator, so two pairs may share one) the result is kept and the table rewritten.
-    ``keys`` names the items' keys where they can be had more cheaply than from ``items``.
+    ``items`` is kept first unless ``keys`` names its keys (then one per key): it is read for its keys and again for the models. Rows with a new
+    key are appended with all their columns. A stored row gets the safe columns, and its roles if ``options`` has roles; only the
+    buckets of such keys are rewritten. What is stored for a key depends on its own row alone.
     """
-    stored = table.read()
-    clash = not known_keys(items if keys is None else keys, stored, "dedup_key").isEmpty()
+    if keys is None:
+        order = [F.col(c).asc() for c in ("url", "title")] + [F.xxhash64("body", "source")]
+        items = first_per_group(materialize(items), ["dedup_key"], order, 1)
+        keys = items.select("dedup_key")
+    known = known_keys(keys, table.read(), "dedup_key")
+    clash = not known.isEmpty()
     done = process_items(items, analyse, vectorise, keep=clash, **options)
     done = done.withColumn("created_at", F.current_timestamp())
-    if clash:
-        written = S.SAFE_COLUMNS + (("target_roles",) if options.get("roles") is not None else ())
-        table.replace(upsert_items(stored, done.select(*written)))
-    else:
+    if not clash:
         table.append(done)
+        return
+    update = [*S.SAFE_COLUMNS, *ERRORS, *(("target_roles",) if options.get("roles") is not None else ())]
+    table.merge(done, known, lambda stored, incoming: upsert_items(stored, incoming, update=update))
+
+
+def retry_failed(table: ItemTable, analyse: Factory, vectorise: Factory, **options) -> None:
+    """Calls the models again for stored rows with an error and updates those rows."""
+    rows = table.failed().drop(*ERRORS)
+    if not rows.isEmpty():
+        write_items(table, rows, analyse, vectorise, rows.select("dedup_key"), **options)
 
 
 def run_batch(
     table: ItemTable, sources: list[Source], analyse: Factory, vectorise: Factory,
-    run_id: str | None = None, limit: int | None = 10, **options,
+    run_id: str | None = None, limit: int | None = None, **options,
 ) -> str:
-    """Collects the new items of all sources and stores them; gives the run's id."""
+    """Collects the new items of all sources and stores them; gives the run's id. ``limit``: entries per source, None for all."""
     run_id = run_id or str(uuid.uuid4())
     entries = collect_entries(sources, table.read(), limit)
     # One entry per key, chosen among narrow rows before any text is joined.

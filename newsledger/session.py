@@ -31,16 +31,25 @@ def build_session(app_name: str = "newsledger", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``; a local session may go without and gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="newsledger-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep it in the cluster's shared checkpoint folder.
 
-    Used where recomputing would call a model again. The folder comes from ``spark.checkpoint.dir``;
-    only where the session has none (local runs) is a temporary one set.
+    Used where recomputing would call a model again.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="newsledger-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

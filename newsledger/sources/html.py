@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from newsledger.functions.text import WHITESPACE
 from newsledger.sources.profiles import PageProfile
 
-EXTRACT_SCHEMA = "links array<struct<pos:int,title:string,href:string>>, body string"
+EXTRACT_SCHEMA = "links array<struct<pos:int,title:string,href:string>>, body string, parse_error string"
 
 # Elements without content, and elements whose text is no running text.
 _VOID = frozenset(
@@ -139,13 +139,13 @@ class _PageReader(HTMLParser):
         return next((self.areas[s] for s in selectors if s in self.areas), None)
 
 
-def _read(html: str | None, profile: PageProfile) -> tuple[list[dict], str]:
+def _read(html: str | None, profile: PageProfile) -> tuple[list[dict], str, str | None]:
     reader = _PageReader(profile)
     try:
         reader.feed(html or "")
         reader.close()
-    except (AssertionError, ValueError):  # markup the parser gives up on: no links, no text
-        return [], ""
+    except (AssertionError, ValueError) as error:  # markup the parser gives up on: no links, no text
+        return [], "", f"{type(error).__name__}: {error}"
     links = []
     for link in (reader.first(profile.link_areas) or reader.areas[None]).links:
         title = "".join(link["text"]) if profile.title_from == "text" else link["title"]
@@ -158,11 +158,13 @@ def _read(html: str | None, profile: PageProfile) -> tuple[list[dict], str]:
                 }
             )
     area = reader.first(profile.text_areas)
-    return links, "\n".join(area.pieces) if area else ""
+    return links, "\n".join(area.pieces) if area else "", None
 
 
 def read_page(html: Column, profile: PageProfile) -> Column:
-    """``struct<links array<struct<pos,title,href>>, body string>`` of every page.
+    """``struct<links array<struct<pos,title,href>>, body string, parse_error string>`` of every page.
+
+    ``parse_error`` is null but for pages that the parser gives up on, which have no links and no text.
 
     Links come in document order from the first link area found (else the whole page), untouched but
     for trimming. The body is every trimmed, non-empty text node of the first text area, joined by
@@ -171,7 +173,7 @@ def read_page(html: Column, profile: PageProfile) -> Column:
 
     @F.pandas_udf(EXTRACT_SCHEMA)
     def extract(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame((_read(h, profile) for h in pages), columns=["links", "body"])
+        return pd.DataFrame((_read(h, profile) for h in pages), columns=["links", "body", "parse_error"])
 
     # Marked non-deterministic so that no filter on its result is moved below it, parsing pages twice.
     return extract.asNondeterministic()(html)

@@ -5,16 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deals the rows of a small scan out to all cores.
-
-    A scan of fewer splits than the cluster has cores is small by definition (below one split per
-    core), and costly column work on it would leave cores idle. Larger scans are returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """A Parquet table, only the named columns when some are named."""
     table = spark.read.parquet(path)

@@ -8,6 +8,7 @@ A batch run again writes nothing twice, because stored URLs are skipped.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,12 +37,15 @@ def publish(items: DataFrame, folder: str) -> None:
     stream_records(items).write.mode("append").json(folder)
 
 
-def read_records(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """The folder as a stream, from its beginning."""
+def read_records(spark: SparkSession, folder: str, max_files: int | None = None, max_bytes: int = 1 << 30) -> DataFrame:
+    """The folder as a stream, from its beginning, with ``arrived`` to tell earlier records from later ones.
+
+    A micro-batch takes at most ``max_bytes`` of files (or ``max_files`` files); the rest waits for the next one.
+    """
     reader = spark.readStream.schema(S.STREAM_RECORD)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(folder)
+    reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader.option("maxBytesPerTrigger", max_bytes)
+    arrived = F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("arrived")
+    return reader.json(folder).select("*", arrived)
 
 
 def records_from_log(log: DataFrame, value: str = "value") -> DataFrame:
@@ -51,7 +55,9 @@ def records_from_log(log: DataFrame, value: str = "value") -> DataFrame:
     only wants what arrives from now on, from its end.
     """
     fields = F.from_json(F.col(value).cast("string"), S.STREAM_RECORD)
-    return log.select(fields.alias("record")).select("record.*")
+    known = [c for c in ("timestamp", "partition", "offset") if c in log.columns]
+    arrived = [F.struct(*known).alias("arrived")] if known else []
+    return log.select(fields.alias("record"), *arrived).select("record.*", *["arrived"] * bool(known))
 
 
 def canonical_uuid(text: Column) -> Column:
@@ -69,8 +75,9 @@ def decode_records(records: DataFrame) -> DataFrame:
     """``(source, title, url, body, pipeline_run_id, decode_error)`` next to the raw payload.
 
     Missing fields take their defaults; a payload which is no JSON object and a run id which is no UUID
-    set ``decode_error``.
+    set ``decode_error``. ``arrived`` and ``row``, if there are, go along.
     """
+    order = [c for c in ("arrived", "row") if c in records.columns]
     fields = json_object(F.coalesce("payload", F.lit("{}")))
     run = F.when(F.col("pipeline_run_id") != "", F.col("pipeline_run_id"))
     # Two steps, so that the payload is parsed once for all its fields.
@@ -86,43 +93,48 @@ def decode_records(records: DataFrame) -> DataFrame:
         canonical_uuid(run).alias("run_id"),
         "payload",
         run.alias("raw_run_id"),
+        *order,
     )
     error = F.when(~F.col("fields.readable"), "payload is not a JSON object").when(
         F.col("raw_run_id").isNotNull() & F.col("run_id").isNull(), "pipeline_run_id is not a UUID"
     )
     return parsed.select(
         "source", "fields.title", "fields.url", "fields.body", F.col("run_id").alias("pipeline_run_id"),
-        "payload", "raw_run_id", error.alias("decode_error"),
+        "payload", "raw_run_id", error.alias("decode_error"), *order,
     )
 
 
 def fresh_records(decoded: DataFrame, stored: DataFrame) -> DataFrame:
-    """Readable records whose URL is not stored, one per URL (smallest text first)."""
+    """Readable records whose URL is not stored, one per URL: the first to arrive, however the stream is cut into batches."""
     readable = decoded.filter(F.col("decode_error").isNull())
-    order = [F.col(c).asc() for c in ("title", "body", "source")]
-    return first_per_group(new_items(readable, stored), ["url"], order, 1)
+    order = [F.col(c).asc() for c in ("arrived", "row") if c in decoded.columns]
+    order.append(F.xxhash64("title", "body", "source").asc())
+    return first_per_group(new_items(readable, stored), ["url"], order, 1).drop("arrived", "row")
 
 
 def write_batch(
     records: DataFrame, batch_id: int, table: ItemTable, dead_letters: str, analyse: Factory,
-    vectorise: Factory, **options,
+    vectorise: Factory, query_id: str = "batch", **options,
 ) -> None:
     """Works off one micro-batch.
 
-    Records that cannot be read go to a dead-letter folder of their own per batch, which a repeated
-    batch overwrites. The decoded micro-batch is cached while it is worked on; its size is bounded by
+    Records that cannot be read go to a dead-letter folder of their own per query and batch, which only the same
+    batch run again overwrites. The decoded micro-batch is cached while it is worked on; its size is bounded by
     the reader's settings.
     """
-    decoded = decode_records(records).persist(StorageLevel.MEMORY_AND_DISK)
+    numbered = records.withColumn("row", F.monotonically_increasing_id())
+    decoded = decode_records(numbered).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        decoded.filter(F.col("decode_error").isNotNull()).select(
+        letters = decoded.filter(F.col("decode_error").isNotNull()).select(
             "source", "payload", F.col("raw_run_id").alias("pipeline_run_id"), "decode_error"
-        ).write.mode("overwrite").json(f"{dead_letters}/batch_id={batch_id}")
+        )
+        if not letters.isEmpty():
+            letters.write.mode("overwrite").json(f"{dead_letters}/query_id={query_id}/batch_id={batch_id}")
         fresh = fresh_records(decoded, table.read())
         items = to_items(fresh, F.col("pipeline_run_id"))
         # One row per key as well: URL and title are joined without a separator.
         items = first_per_group(items, ["dedup_key"], [F.col("url").asc()], 1)
-        write_items(table, items, analyse, vectorise, **options)
+        write_items(table, items, analyse, vectorise, items.select("dedup_key"), **options)
     finally:
         decoded.unpersist()
 
@@ -137,14 +149,42 @@ def start_worker(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         here = ItemTable(batch.sparkSession, table.path, table.schema)
-        write_batch(batch, batch_id, here, dead_letters, analyse, vectorise, policy=policy, **options)
+        # The query's id lives in its checkpoint: a new checkpoint counts its batches from 0 under another id.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        write_batch(batch, batch_id, here, dead_letters, analyse, vectorise, query_id, policy=policy, **options)
 
     writer = records.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 
 
+LETTER = "source string, payload string, pipeline_run_id string, decode_error string, query_id string, batch_id long"
+
+
+def dead_letters_of(spark: SparkSession, dead_letters: str) -> DataFrame:
+    """All unreadable records with the reason and the batch they came in."""
+    try:
+        return spark.read.schema(LETTER).json(dead_letters)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LETTER)
+
+
 def replay_dead_letters(spark: SparkSession, dead_letters: str, folder: str) -> None:
-    """Publishes the unreadable records again, for instance after the decoder was mended."""
-    letters = spark.read.schema(S.STREAM_RECORD).json(f"{dead_letters}/batch_id=*")
-    letters.write.mode("append").json(folder)
+    """Publishes the unreadable records again, each once, for instance after the decoder was mended.
+
+    Batches already replayed are noted next to the letters, after their records were published; a record that cannot be read again is a
+    new letter of its own.
+    """
+    noted = f"{dead_letters.rstrip('/')}-replayed"
+    batches = ["query_id", "batch_id"]
+    letters = dead_letters_of(spark, dead_letters)
+    done = dead_letters_of(spark, noted).select(*batches)
+    waiting = letters.join(done, batches, "left_anti")
+    now = waiting.select(*batches).distinct().collect()
+    if not now:
+        return
+    these = spark.createDataFrame([tuple(r) for r in now], "query_id string, batch_id long")
+    letters.join(these, batches, "left_semi").select(*S.STREAM_RECORD.names).write.mode("append").json(folder)
+    these.write.mode("append").json(noted)

@@ -50,11 +50,13 @@ def test_validate(spark):
     assert rows[2].roles_ok and not rows[2].category_ok and not rows[2].tags_ok
 
 
-def test_prompt_takes_the_first_3000_characters(spark):
+def test_prompt_takes_the_first_characters_if_asked(spark):
     df = spark.createDataFrame([("t", "字" * 3001 + "end"), (None, None)], "title string, body string")
-    long, bare = [r.p for r in df.select(A.build_prompt(F.col("title"), F.col("body")).alias("p")).collect()]
+    long, bare = [r.p for r in df.select(A.build_prompt(F.col("title"), F.col("body"), 3000).alias("p")).collect()]
     assert "<content>\n" + "字" * 3000 + "\n</content>" in long and "end" not in long
     assert "<content>\n\n</content>" in bare
+    whole = df.select(A.build_prompt(F.col("title"), F.col("body")).alias("p")).first().p
+    assert "字end\n</content>" in whole
 
 
 def picky():
@@ -142,7 +144,7 @@ def test_gap_report(spark):
         [(1, "far", [0.0, 1.0]), (2, "near", [1.0, 0.1]), (3, "nearest", [2.0, 0.0]), (4, "other", [-1.0, 0.0])],
         "doc_id int, text string, vector array<float>",
     )
-    seen = gap.gap_report(regs, docs, lambda: (lambda ps: ps)).first()
+    seen = gap.gap_report(regs, docs.select("doc_id", "vector"), docs.select("doc_id", "text"), lambda: (lambda ps: ps)).first()
     assert seen.title == "title" and seen.importance == 9 and seen.analysis_error is None
     assert "summary" in seen.analysis_result and "nearest\nnear\nfar" in seen.analysis_result
     assert gap.regulations_message(regs.limit(0)) == gap.NO_CHANGES and gap.regulations_message(regs) is None

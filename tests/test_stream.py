@@ -1,12 +1,15 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
 from newsledger import schema as S
+from newsledger.operators.enrich import embed, enrich
 from newsledger.operators.items import to_items
+from newsledger.operators.pages import entry_bodies
 from newsledger.plans.collect import Source
 from newsledger.plans.process import process_items
-from newsledger.plans.store import run_batch
+from newsledger.plans.store import retry_failed, run_batch, write_items
 from newsledger.sources.item_table import ItemTable
 from newsledger.sources.profiles import CENTRAL_BANK, REGULATOR
 from newsledger.streaming import ingest
@@ -52,7 +55,7 @@ def test_stream_equals_batch_and_replays_change_nothing(spark, tmp_path):
     assert shown(table.read()) == first
     ingest.publish(to_items(entries(spark, 15)), f"{tmp_path}/records")
     worker(spark, tmp_path, table)
-    assert table.read().count() == 15 and table.version() == 1  # appended, not rewritten
+    assert table.read().count() == 15 and table.version() == 0  # appended, not rewritten
     assert table.read().filter(F.col("body").contains("@")).count() == 0
 
 
@@ -74,10 +77,12 @@ def test_records_with_gaps_and_dead_letters(spark, tmp_path):
     worker(spark, tmp_path, table)
     assert sorted(r.url for r in table.read().collect()) == ["", "u1", "u2"]
     assert table.read().filter("url = 'u1'").first().title == "a"
-    letters = spark.read.json(f"{tmp_path}/dead/batch_id=*")
-    assert letters.count() == 3
-    ingest.replay_dead_letters(spark, f"{tmp_path}/dead", f"{tmp_path}/again")
-    assert spark.read.schema(S.STREAM_RECORD).json(f"{tmp_path}/again").count() == 3
+    assert ingest.dead_letters_of(spark, f"{tmp_path}/dead").count() == 3
+    for _ in range(2):
+        ingest.replay_dead_letters(spark, f"{tmp_path}/dead", f"{tmp_path}/again")
+        assert spark.read.schema(S.STREAM_RECORD).json(f"{tmp_path}/again").count() == 3
+    worker(spark, tmp_path, table, checkpoint="second")
+    assert ingest.dead_letters_of(spark, f"{tmp_path}/dead").count() == 6
 
 
 def test_key_already_stored_under_another_url_is_updated(spark, tmp_path):
@@ -90,7 +95,7 @@ def test_key_already_stored_under_another_url_is_updated(spark, tmp_path):
     ingest.publish(to_items(two), f"{tmp_path}/records")
     worker(spark, tmp_path, table)
     (row,) = table.read().collect()
-    assert (row.title, row.url, row.body) == ("bc", "a", "second") and table.version() == 2
+    assert (row.title, row.url, row.body) == ("bc", "a", "second") and table.version() == 1
 
 
 def test_quarantine_policy_on_a_stream(spark, tmp_path):
@@ -131,6 +136,75 @@ def test_batch_job_twice(spark, tmp_path):
     assert [r.body for r in rows] == ["text 0 cp-302-", "text 1 cp-302-", "text 0 home.jsp?id=2&n=", "text 1 home.jsp?id=2&n="]
     assert {r.source for r in rows} == {"金管會", "中央銀行"}
     run_batch(table, sources, analyst, vectors, limit=2)
-    assert table.read().count() == 4 and table.version() == 1
+    assert table.read().count() == 4 and table.version() == 0
     run_batch(table, sources, analyst, vectors)
     assert table.read().count() == 6
+
+
+def test_one_stored_key_does_not_change_other_rows(spark, tmp_path):
+    """A new row is stored alike whether or not another row of the increment is stored already."""
+    roles = spark.createDataFrame([("r9", "法遵長")], "role_id string, role_name string")
+
+    def answers():
+        return lambda texts: [json.dumps({"summary": "s", "target_roles": ["法遵長"]}) for _ in texts]
+
+    got = {}
+    for name, first in (("alone", 0), ("clash", 1)):
+        table = ItemTable(spark, f"{tmp_path}/{name}")
+        if first:
+            write_items(table, to_items(entries(spark, 1)), answers, vectors, roles=roles, policy="mask")
+        write_items(table, to_items(entries(spark, 2)), answers, vectors, roles=roles, policy="mask")
+        write_items(table, to_items(entries(spark, 2).union(entries(spark, 2))), answers, vectors, roles=roles, policy="mask")
+        rows = table.read().collect()
+        assert len(rows) == 2
+        got[name] = next(tuple(str(r[c]) for c in (*COMPARED, "target_roles")) for r in rows if r.url == "u1")
+    assert got["alone"] == got["clash"] and "r9" in got["alone"][-1]
+
+
+def test_failed_answers_are_stored_and_retried(spark, tmp_path):
+    def broken():
+        return lambda texts: [{"no": "text"} if "body 1" in t else json.dumps({"summary": "fine"}) for t in texts]
+
+    def odd_vectors():
+        return lambda texts: [[[1.0]] if "t2" in t else [1.0] * S.EMBEDDING_DIM for t in texts]
+
+    table = ItemTable(spark, f"{tmp_path}/items")
+    write_items(table, to_items(entries(spark, 3)), broken, odd_vectors, policy="mask")
+    failed = {r.url: (r.analysis_error, r.embedding_error) for r in table.failed().collect()}
+    assert set(failed) == {"u1", "u2"} and "dict" in failed["u1"][0] and "list" in failed["u2"][1]
+    retry_failed(table, analyst, vectors, policy="mask")
+    assert table.failed().count() == 0 and table.read().count() == 3
+
+
+def test_first_record_wins_however_batches_are_cut(spark, tmp_path):
+    for k in range(4):
+        rows = [("s", json.dumps({"title": f"t{k}", "url": f"u{n}", "body": "b"}), None) for n in (k, k + 1)]
+        spark.createDataFrame(rows, S.STREAM_RECORD).coalesce(1).write.mode("append").json(f"{tmp_path}/records")
+        time.sleep(1.1)
+    want = {"u0": "t0", "u1": "t0", "u2": "t1", "u3": "t2", "u4": "t3"}
+    for files in (1, 4, None):
+        table = ItemTable(spark, f"{tmp_path}/items-{files}")
+        ingest.start_worker(
+            ingest.read_records(spark, f"{tmp_path}/records", files), table, f"{tmp_path}/checkpoint-{files}", f"{tmp_path}/dead", analyst, vectors,
+            available_now=True,
+        ).awaitTermination()
+        assert {r.url: r.title for r in table.read().collect()} == want
+
+
+def test_answers_of_wrong_types_fail_their_row_only(spark):
+    answers = {"a": "{}", "b": {"x": 1}, "c": 5, "d": ["{}"], "e": None}
+    lists = {"a": [1.0] * 4, "b": {"x": 1}, "c": 5, "d": [[1.0]], "e": [1.0] * 3, "f": "text"}
+    frame = spark.createDataFrame([(k,) for k in lists], "t string")
+    done = enrich(frame, "t", lambda: lambda texts: [answers.get(t, "{}") for t in texts]).collect()
+    assert {r.t: bool(r.analysis_error) for r in done} == {"a": False, "b": True, "c": True, "d": True, "e": True, "f": False}
+    got = {r.t: (r.embedding_error, r.embedding) for r in embed(frame, "t", lambda: lambda texts: [lists[t] for t in texts], dim=4).collect()}
+    assert got["a"][0] is None and all(got[k][0] for k in "bcdf") and all(len(v[1]) == 4 for v in got.values())
+
+
+def test_the_last_fetch_of_a_page_counts(spark):
+    pages = spark.createDataFrame(
+        [(1, "https://www.cbc.gov.tw/tw/a", "<div class='cp'>one</div>"), (2, "https://www.cbc.gov.tw/tw/a", "<div class='cp'>two</div>")],
+        "page_id int, url string, html string",
+    )
+    wanted = spark.createDataFrame([("https://www.cbc.gov.tw/tw/a",), ("https://www.cbc.gov.tw/tw/b",)], "url string")
+    assert sorted(r.body for r in entry_bodies(wanted, pages, CENTRAL_BANK).collect()) == ["", "two"]

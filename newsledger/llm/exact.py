@@ -88,9 +88,9 @@ def find(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all columns of ``docs``."""
-    kept = find(docs).filter("kept").select(F.col("row_key").alias("_row_key"))
+    kept = find(docs).filter("kept").select(F.col("row_key").alias("_newsledger_row"))
     key = row_key(F.col("doc_id").cast("long"), F.sha2(F.coalesce("text", F.lit("")), 256))
-    return docs.withColumn("_row_key", key).join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    return docs.withColumn("_newsledger_row", key).join(kept, "_newsledger_row", "left_semi").dropDuplicates(["_newsledger_row"]).drop("_newsledger_row")
 
 
 @query("op4_exact_dedup", """

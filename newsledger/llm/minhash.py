@@ -5,10 +5,11 @@ are one class. Sketch values held by several classes form inverted lists. Two se
 values (``needed``; fewer has a probability of about 1e-7, none for sets within a sketch) that they share one of each sketch's rarest values already: only those
 lists are used, so passages that many documents share generate nothing unless they make up most of a sketch.
 
-Links are found in two rounds. First each document of a list is compared with the list's smallest classes of about its size, which joins groups of any size by as many
-comparisons as they have members. Then only pairs from different components are left: lists with several components are compared in tiles of bounded size. Pairs pass if the
-sketch of their union estimates enough similarity, and are verified on the full sets of both texts. Pairs within one component need no comparison,
-as the result is components; no pair between components is left out.
+Links are found in two rounds. First each document of a list is compared with the list's smallest class of about its size,
+by the sketch of their union and then on the full sets, which joins most groups by as many comparisons as they have
+members. Documents connected by lists form families; a family that is still several components is compared in tiles of bounded size, on the full sets of
+its documents: counts of common shingles come from one matrix product over distinct columns. Families of one component need no further
+comparison, as the result is components; no pair between components is left out. Tiles report a spanning set of their links.
 
 Cases: null or blank text has no set and links with nothing; texts under five words are one shingle; repeated ids keep
 all their rows (rows of one id and different texts are different nodes); null ids come last; an empty table gives no rows; further columns are ignored by ``find``
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsledger.llm import query
-from newsledger.llm.components import components, tiles, together, whole_groups
+from newsledger.llm.components import components, smallest_linked, tiles, together, whole_groups
 from newsledger.llm.ppm import normal
 from newsledger.llm.quality import MULTIPLIER, SPACES, word_hashes
 from newsledger.llm.shared import documents, stored, texts_of
@@ -34,7 +35,7 @@ from newsledger.llm.token_files import slices
 
 K = 48
 WORDS = 5
-TILE = 256
+TILE = 512
 PARTNERS = 64
 
 
@@ -134,34 +135,52 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return stored(checked.filter(f"100 * common >= {percent} * total"), "similar-pairs")
 
 
-def _cross_pairs(k: int, least: float):
-    """Pairs of a tile that lie in different components and share enough sketch values."""
-    random = math.floor(k * least - 5.7 * math.sqrt(k * least * (1 - least)))
+def common_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets share.
 
+    Shingles held by the same sets are one column that counts as often; those held by one set are no column at all.
+    """
+    count = len(sets)
+    if not count:
+        return np.zeros((0, 0))
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(count), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    heads = np.flatnonzero(np.diff(flat, prepend=~flat[:1])) if len(flat) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(heads, len(flat)))
+    shared = np.flatnonzero(sizes > 1)
+    if not len(shared):
+        return np.zeros((count, count))
+    codes = np.random.default_rng(11).integers(1, 1 << 63, count, dtype=np.uint64)
+    holders = np.add.reduceat(codes[row], heads)[shared]
+    _, first, times = np.unique(holders, return_index=True, return_counts=True)
+    common = np.zeros((count, count))
+    for k in range(0, len(first), 8192):
+        part = shared[first[k:k + 8192]]
+        n = sizes[part]
+        at = np.repeat(heads[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        held = np.zeros((count, len(part)), np.float32)
+        held[row[at], np.repeat(np.arange(len(part)), n)] = 1
+        common += (held * times[k:k + 8192].astype(np.float32)) @ held.T
+    return common
+
+
+def _linked_in_tile(percent: int):
     def run(batches):
         for table in whole_groups(batches):
-            group = table.column("group").to_numpy()
-            columns = {c: table.column(c).to_numpy() for c in ("class", "component", "block", "n")}
-            sketches = table.column("sketch").combine_chunks()
-            borders = np.flatnonzero(np.diff(group, prepend=group[0] - 1, append=group[-1] - 1))
+            group, ids = table.column("group").to_numpy(), table.column("class").to_numpy()
+            borders = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
             left, right = [], []
             for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
-                part = sketches.slice(a, b - a)
-                values, column = np.unique(part.flatten().to_numpy(), return_inverse=True)
-                row = np.repeat(np.arange(b - a), np.diff(part.offsets.to_numpy()))
-                held = np.zeros((b - a, len(values)), np.float32)
-                held[row, column] = 1
-                common = held @ held.T
-                n = columns["n"][a:b]
-                small = np.minimum(n[:, None], n[None, :])
-                enough = common >= np.where(small <= k * least, np.ceil(small * least), random)
-                enough &= small >= least * np.maximum(n[:, None], n[None, :])
-                enough &= columns["component"][a:b, None] < columns["component"][None, a:b]
-                i, j = np.nonzero(enough)
-                left.append(columns["class"][a:b][i])
-                right.append(columns["class"][a:b][j])
-            left, right = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], ["a", "b"])
+                sets = shingle_sets([normal(t) for t in table.column("text").slice(a, b - a).to_pylist()])
+                common, n = common_shingles(sets), np.array([len(s) for s in sets])
+                i, j = np.nonzero(np.triu(100 * common >= percent * (n[:, None] + n[None, :] - common), 1))
+                label = smallest_linked(b - a, i, j)
+                at = np.flatnonzero(label != np.arange(b - a))
+                left.append(ids[a + at])
+                right.append(ids[a + label[at]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
 
     return run
 
@@ -186,8 +205,8 @@ def link(docs: DataFrame, k: int = K, least: float = 0.75) -> tuple[DataFrame, D
     entries = used.select("class", "n", F.explode("values.value").alias("value"))
     sketches = used.select("class").join(classes, "class").select("class", "sketch", "row.doc_id", "row.key")
     sketches = stored(sketches, "used-sketches")
-    wanted = sketches.select("class", F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).select("class", "text")
+    wanted = sketches.select("class", F.col("doc_id").alias("_id"), F.col("key").alias("_newsledger_key"))
+    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_newsledger_key"))).select("class", "text")
     texts = stored(texts.dropDuplicates(["class"]), "used-texts")
 
     # Round one: the smallest class of each list among those of about the same size.
@@ -199,19 +218,17 @@ def link(docs: DataFrame, k: int = K, least: float = 0.75) -> tuple[DataFrame, D
     found = verified(stored(stars, "star-pairs"), texts, least)
     joined = components(found.select("a", "b"))
 
-    # Round two: lists that still hold several components.
-    known = entries.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", F.col("class")))
-    known = stored(known, "entry-components")
-    open_lists = stored(known.groupBy("value").agg((F.min("component") < F.max("component")).alias("open")).filter("open").select("value"), "open-lists")
-    crowd = tiles(known.join(open_lists, "value"), ["value"], "class", TILE, "open-counts").join(sketches.select("class", "sketch"), "class")
-    crossing = (
-        together(crowd, ["value"]).select("group", "class", "component", "block", "n", "sketch")
-        .mapInArrow(_cross_pairs(k, least), "a long, b long").distinct()
-    )
-    crossing = stored(crossing, "crossing-pairs")
-    if not crossing.isEmpty():
-        more = verified(crossing, texts, least)
-        joined = components(found.select("a", "b").unionByName(more.select("a", "b")))
+    # Round two: families of several components.
+    smallest = stored(entries.groupBy("value").agg(F.min("class").alias("head")), "value-heads")
+    families = components(entries.join(smallest, "value").select(F.col("head").alias("a"), F.col("class").alias("b")))
+    known = families.withColumnRenamed("component", "family").join(joined, "node", "left")
+    known = stored(known.select(F.col("node").alias("class"), "family", F.coalesce("component", "node").alias("component")), "families")
+    several = known.groupBy("family").agg((F.min("component") < F.max("component")).alias("several")).filter("several").select("family")
+    crowd = tiles(known.join(several, "family").select("family", "class"), ["family"], "class", TILE, "family-sizes").join(texts, "class")
+    tiled = together(crowd, ["family"]).select("group", "class", "text")
+    more = stored(tiled.mapInArrow(_linked_in_tile(round(100 * least)), "a long, b long"), "tile-links")
+    if not more.isEmpty():
+        joined = components(found.select("a", "b").unionByName(more))
     return rows, classes, joined
 
 
@@ -229,9 +246,9 @@ def find(docs: DataFrame, k: int = K, least: float = 0.75) -> DataFrame:
 
 def dedup(docs: DataFrame, k: int = K, least: float = 0.75) -> DataFrame:
     """One document of each component, with all columns of ``docs``."""
-    kept = find(docs, k, least).filter("kept").select(F.col("key").alias("_key"))
+    kept = find(docs, k, least).filter("kept").select(F.col("key").alias("_newsledger_key"))
     key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
-    return docs.withColumn("_key", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return docs.withColumn("_newsledger_key", key).join(kept, "_newsledger_key", "left_semi").dropDuplicates(["_newsledger_key"]).drop("_newsledger_key")
 
 
 @query("op10_minhash", """

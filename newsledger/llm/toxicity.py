@@ -127,14 +127,13 @@ def fit(rows: list[tuple[int, np.ndarray]], swaps: list[tuple[np.ndarray, np.nda
     swap_row, swap_column = np.concatenate([plus[0], minus[0]]), np.concatenate([plus[1], minus[1]])
     sign = np.concatenate([np.ones(len(plus[0])), -np.ones(len(minus[0]))])
     n, w, bias = len(rows), np.zeros(len(known)), float(np.log(share / (1 - share)))
-    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
     # Steps scaled by each feature's frequency: common features move slowly, rare ones fast.
-    scale = 0.5 * np.bincount(column, weight[row], len(known)) / n
+    scale = 0.5 * np.bincount(column, minlength=len(known)) / n
     scale += settings.swap_penalty * np.bincount(swap_column, minlength=len(known)) * 2 / max(1, len(swaps))
     rate = 0.2 / np.maximum(scale, 1e-4)
     for _ in range(settings.steps):
         p = 1 / (1 + np.exp(-(np.bincount(row, w[column], n) + bias)))
-        error = weight * (p - y) / n
+        error = (p - y) / n
         gradient = np.bincount(column, error[row], len(known))
         if len(swaps):
             change = np.bincount(swap_row, sign * w[swap_column], len(swaps))
@@ -193,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", parts: int
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that are not toxic, all columns."""
-    return docs.withColumn("_score", scorer(model)("text")).filter(F.col("_score") < threshold).drop("_score")
+    return docs.withColumn("_newsledger_score", scorer(model)("text")).filter(F.col("_newsledger_score") < threshold).drop("_newsledger_score")
 
 
 @query("op9_toxicity")

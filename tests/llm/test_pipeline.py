@@ -1,5 +1,5 @@
 import corpus_pipeline
-from newsledger.llm import QUERIES
+from newsledger.llm import QUERIES, load_all
 from newsledger.llm.shared import documents, stored
 
 SMALL = "/root/testdata/sf0.001"
@@ -24,4 +24,5 @@ def test_stages_against_plain_versions(spark):
 
 
 def test_every_operator_is_registered():
+    load_all()
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

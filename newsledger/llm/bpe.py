@@ -102,7 +102,7 @@ class MergeTable:
 class BatchedBpe(ChunkEncoder):
     """``encode(texts)``: one flat array of ids and the number of ids per text, by merge rounds."""
 
-    def __init__(self, path: str, kept: int = 900_000):
+    def __init__(self, path: str, kept: int = 600_000):
         self.table = MergeTable(path)
         self.words = regex.compile(WORDS)
         special = "|".join(map(regex.escape, sorted(self.table.special, key=len, reverse=True)))
@@ -173,7 +173,7 @@ def round_trip(path: str):
         start = 0
         while start < len(texts):
             part, size = [], 0
-            while start < len(texts) and size < 4_000_000:
+            while start < len(texts) and size < 1_500_000:
                 part.append(texts[start].as_py() or "")
                 size += len(part[-1])
                 start += 1

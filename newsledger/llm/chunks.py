@@ -36,7 +36,7 @@ def byte_chars() -> dict[int, int]:
 
 _BYTE_CHARS = byte_chars()
 LONGEST = 256
-PART = 4_000_000
+PART = 1_500_000
 
 
 def vocabulary(name: str) -> str:
@@ -49,7 +49,7 @@ def vocabulary(name: str) -> str:
 class ChunkEncoder:
     """``encode(texts)`` gives one flat array of ids and the number of ids per text."""
 
-    def __init__(self, path: str, kept: int = 900_000):
+    def __init__(self, path: str, kept: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

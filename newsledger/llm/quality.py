@@ -26,7 +26,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x100000001B3
 INVERSE = pow(BASE, -1, 1 << 64)
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-PART = 2_000_000
+PART = 500_000
 
 
 @dataclass(frozen=True)
@@ -187,7 +187,7 @@ def scorer(model):
 
 def keep_good(docs: DataFrame, model, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that the model accepts, all columns."""
-    return docs.withColumn("_score", scorer(model)("text")).filter(F.col("_score") >= threshold).drop("_score")
+    return docs.withColumn("_newsledger_score", scorer(model)("text")).filter(F.col("_newsledger_score") >= threshold).drop("_newsledger_score")
 
 
 @query("op5_quality")

@@ -33,7 +33,7 @@ LAYOUT = {
     "parquet.page.size": str(256 << 10),
     "compression": "zstd",
 }
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_500_000
 
 
 def slices(batches, column: str = "text"):

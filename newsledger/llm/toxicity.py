@@ -112,12 +112,13 @@ def fit(rows: list[tuple[int, np.ndarray]], swaps: list[tuple[np.ndarray, np.nda
     empty = np.zeros(0, np.uint64), np.zeros(0, np.float32)
     if len(set(y)) < 2:
         return *empty, log_odds
-    values, inverse = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    total, toxic = np.bincount(inverse), np.bincount(inverse, y[owner], len(values))
-    share = y.mean()
+    values, total = np.unique(np.concatenate([r[1] for r in rows]), return_counts=True)
+    values, total = values[total >= settings.least_texts], total[total >= settings.least_texts]
+    if not len(values):
+        return *empty, log_odds
+    row, column = _matrix([r[1] for r in rows], values)
+    toxic, share = np.bincount(column, y[row], len(values)), y.mean()
     strength = np.abs(toxic - total * share) / np.sqrt(total * share * (1 - share))
-    strength[total < settings.least_texts] = 0
     chosen = np.sort(np.argsort(-strength, kind="stable")[:settings.features])
     known = values[chosen[strength[chosen] > 0]]
     if not len(known):

@@ -49,7 +49,7 @@ def vocabulary(name: str) -> str:
 class ChunkEncoder:
     """``encode(texts)`` gives one flat array of ids and the number of ids per text."""
 
-    def __init__(self, path: str, kept: int = 600_000):
+    def __init__(self, path: str, kept: int = 750_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -1,4 +1,5 @@
 import math
+import random
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -123,3 +124,15 @@ def test_ppm_with_few_words_sent_and_pruned_contexts(spark):
     assert all(math.isclose(full[i].base_score, small[i].base_score, rel_tol=1e-9) and full[i].n_known == small[i].n_known for i in full)
     assert sum(r.score for r in small.values()) < sum(r.score for r in full.values()) < 0
     assert ppm.score(frame(spark, [])).count() == 0
+
+
+def test_ppm_scores_from_all_grams_whatever_is_cached(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=60_000)) for _ in range(7)] + ["the mat", "qz the cat\u00e9", ""]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    want = plain_ppm([t for t, h in zip(texts, held) if not h], texts, 5)
+    docs = frame(spark, list(enumerate(texts)))
+    # More than a million n-grams in all: the model has no size of its own.
+    for settings in ({}, {"cached_grams": 50}):
+        rows = {r.doc_id: r.score for r in ppm.score(docs, **settings).collect()}
+        assert all(math.isclose(rows[i], s, rel_tol=1e-9) for i, s in enumerate(want))

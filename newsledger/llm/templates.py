@@ -1,8 +1,9 @@
 """Main text of web pages: site template removal, then the article's blocks.
 
-Each page's element subtrees are hashed; Spark counts on how many pages of a host each occurs. Subtrees that recur on many pages
-of their host (``least_pages`` and ``least_share`` of its pages) are the site's template and are deleted, unless they hold the
-article or are running text (copies of an article are no template). What the template rule cannot know on small hosts,
+Each page's element subtrees are hashed; Spark counts with how many different articles of a host each occurs. Subtrees that recur with many
+articles of their host (``least_pages`` and ``least_share`` of them) are the site's template and are deleted, unless they hold the
+article or are running text. Pages whose texts are equal after the tag and class rules count as one article, so copies of an article are no
+template, whatever elements hold their text. What the template rule cannot know on small hosts,
 elements that are never article text (menus, forms, scripts, adverts, notices, comments ...), goes by tag, role and class. Of the rest the
 article's blocks are kept: character references decoded, white space made one space, joined by a line feed.
 
@@ -41,6 +42,8 @@ NEVER_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription comment comments disqus respond reply replies "
     "share sharing social related recommended footer widget toolbar pagination pager login signup skip".split()
 )
+# Subtrees whose articles a task remembers at a time.
+HELD = 200_000
 # What ends an open element of the same list when it starts.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -160,17 +163,23 @@ def candidates(page: Page, main: int) -> list[int]:
     return [i for i, e in enumerate(page.elements) if e.tag in BLOCKS and e.tag not in RUNNING and e.tag not in ("html", "head", "body") and i not in around]
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def subtree_hash(page: Page, index: int) -> int:
     element = page.elements[index]
-    source = " ".join(page.html[element.start:element.end].split())
-    return int.from_bytes(hashlib.blake2b(source.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return _hash(" ".join(page.html[element.start:element.end].split()))
 
 
 def main_text(html: str, template: set[int]) -> str:
     """The article's text without subtrees whose hash is in ``template`` and elements that never belong to it."""
     page = parse(html)
     main = article(page)
-    gone = {i for i in candidates(page, main) if template and subtree_hash(page, i) in template}
+    return _kept_text(page, main, {i for i in candidates(page, main) if template and subtree_hash(page, i) in template})
+
+
+def _kept_text(page: Page, main: int, gone: set[int]) -> str:
     around, index = set(), main
     while index >= 0:
         around.add(index)
@@ -198,19 +207,40 @@ def main_text(html: str, template: set[int]) -> str:
         start, end, element = run
         if main < 0 or element >= 0 and inside[element] and not drop[element]:
             if element < 0 or not drop[element]:
-                words.append(html[start:end] if end > start else " ")
+                words.append(page.html[start:end] if end > start else " ")
     return "\n".join(blocks)
 
 
-def _hashes(batches):
-    for batch in batches:
-        rows = []
-        for html in batch.column("html").to_pylist():
-            page = parse(html)
-            rows.append(sorted({subtree_hash(page, i) for i in candidates(page, article(page))}))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page"), batch.column("host"), pa.array(rows, pa.list_(pa.int64()))], ["page", "host", "subtrees"]
-        )
+def _hashes(least: int):
+    """Subtrees and article of each page; ``counted`` leaves out subtrees that the task has already counted with ``least`` articles or with this one."""
+    def run(batches):
+        seen: dict[tuple[str, int], tuple[int, ...]] = {}
+        for batch in batches:
+            rows, articles, counted = [], [], []
+            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                page = parse(html)
+                main = article(page)
+                text = _hash(_kept_text(page, main, set()))
+                rows.append(sorted({subtree_hash(page, i) for i in candidates(page, main)}))
+                articles.append(text)
+                counted.append([])
+                for subtree in rows[-1]:
+                    known = seen.get((host, subtree), ())
+                    if len(known) < least and text not in known:
+                        seen[host, subtree] = (*known, text)
+                        counted[-1].append(subtree)
+                if len(seen) > HELD:
+                    seen = {}
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page"), batch.column("host"), pa.array(rows, kind), pa.array(articles, pa.int64()), pa.array(counted, kind)],
+                ["page", "host", "subtrees", "article", "counted"],
+            )
+
+    return run
+
+
+HASHED = "page long, host string, subtrees array<long>, article long, counted array<long>"
 
 
 def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.05) -> DataFrame:
@@ -220,9 +250,9 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.05) -
     # Equal pages of a host have the same subtrees: one row stands for them until texts are wanted.
     key = F.xxhash64(host, html)
     sources = pages.select("page_id", "url", host.alias("host"), html.alias("html"), key.alias("page"))
-    hashed = stored(sources.select("page", "host", "html").mapInArrow(_hashes, "page long, host string, subtrees array<long>"), "subtrees")
-    sizes = hashed.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = hashed.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("on"))
+    hashed = stored(sources.select("page", "host", "html").mapInArrow(_hashes(1 << 62), HASHED), "subtrees")
+    sizes = hashed.groupBy("host").agg(F.countDistinct("article").alias("pages"))
+    seen = hashed.select("host", "article", F.explode("counted").alias("subtree")).groupBy("host", "subtree").agg(F.countDistinct("article").alias("on"))
     enough = (F.col("on") >= least_pages) & (F.col("on") >= least_share * F.col("pages"))
     templates = seen.join(sizes, "host").filter(enough).select("host", "subtree")
     found = (

@@ -42,3 +42,16 @@ def test_articles_of_the_supplied_pages(spark):
         inner = re.search(r"<article>(.*?)(</article>|$)", source[r.page_id], re.S)[1]
         blocks = (re.sub(r"<br>|</?b>", "", part) for part in re.split(r"</?(?:p|h1)>", inner))
         assert r.text == "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    bodies = [
+        "<div class=body><p>The same story</p></div>", "<section>The same story</section>", "<ul><li>The same story</li></ul>",
+        "<div><section><ol><li>The same story</li></ol></section></div>",
+    ]
+    rows = [
+        (100 * n + k, f"https://{n}.example/{k}", f"<body><div class=x{k}>{k}</div><article><div class=related>{k}</div>{body}</article></body>")
+        for n, body in enumerate(bodies) for k in range(8)
+    ]
+    got = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows) and {r.text for r in got} == {"The same story"}

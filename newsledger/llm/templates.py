@@ -1,7 +1,7 @@
 """Main text of web pages: site template removal, then the article's blocks.
 
-Each page's element subtrees are hashed; Spark counts with how many different articles of a host each occurs. Subtrees that recur with many
-articles of their host (``least_pages`` and ``least_share`` of them) are the site's template and are deleted, unless they hold the
+Each page's element subtrees are hashed; Spark counts with how many different articles of a host each occurs. Subtrees that recur with
+``least_pages`` articles of their host, however large the host is, are the site's template and are deleted, unless they hold the
 article or are running text. Pages whose texts are equal after the tag and class rules count as one article, so copies of an article are no
 template, whatever elements hold their text. What the template rule cannot know on small hosts,
 elements that are never article text (menus, forms, scripts, adverts, notices, comments ...), goes by tag, role and class. Of the rest the
@@ -243,18 +243,16 @@ def _hashes(least: int):
 HASHED = "page long, host string, subtrees array<long>, article long, counted array<long>"
 
 
-def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.05) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = 5) -> DataFrame:
     """``page_id``, ``url`` and ``text``, one row per page."""
     html = F.coalesce("html", F.lit(""))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
     # Equal pages of a host have the same subtrees: one row stands for them until texts are wanted.
     key = F.xxhash64(host, html)
     sources = pages.select("page_id", "url", host.alias("host"), html.alias("html"), key.alias("page"))
-    hashed = stored(sources.select("page", "host", "html").mapInArrow(_hashes(1 << 62), HASHED), "subtrees")
-    sizes = hashed.groupBy("host").agg(F.countDistinct("article").alias("pages"))
+    hashed = stored(sources.select("page", "host", "html").mapInArrow(_hashes(least_pages), HASHED), "subtrees")
     seen = hashed.select("host", "article", F.explode("counted").alias("subtree")).groupBy("host", "subtree").agg(F.countDistinct("article").alias("on"))
-    enough = (F.col("on") >= least_pages) & (F.col("on") >= least_share * F.col("pages"))
-    templates = seen.join(sizes, "host").filter(enough).select("host", "subtree")
+    templates = seen.filter(F.col("on") >= least_pages).select("host", "subtree")
     found = (
         hashed.select("page", "host", F.explode("subtrees").alias("subtree")).distinct().join(templates, ["host", "subtree"])
         .groupBy("page").agg(F.collect_set("subtree").alias("template"))

@@ -55,3 +55,12 @@ def test_copies_of_an_article_are_no_template(spark):
     ]
     got = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert len(got) == len(rows) and {r.text for r in got} == {"The same story"}
+
+
+def test_a_template_needs_no_share_of_its_host(spark):
+    menu = "<div class=x><b>Section menu</b></div>"
+    rows = [(k, f"https://big.example/{k}", f"<article><p>Story {k}</p>{menu if k < 6 else ''}</article>") for k in range(400)]
+    rows += [(1000 + k, f"https://small.example/{k}", f"<article><p>Story {k}</p>{menu if k < 4 else ''}</article>") for k in range(10)]
+    texts = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(texts[k] == f"Story {k}" for k in range(400))
+    assert texts[1000] == "Story 0\nSection menu" and texts[1009] == "Story 9"

@@ -232,21 +232,29 @@ def link(docs: DataFrame, k: int = K, least: float = 0.75) -> tuple[DataFrame, D
     return rows, classes, joined
 
 
-def find(docs: DataFrame, k: int = K, least: float = 0.75) -> DataFrame:
-    """``doc_id``, ``key``, ``n_shingles``, ``component_id``, ``kept``, one row per row of ``docs``."""
+def _grouped(docs: DataFrame, k: int, least: float) -> DataFrame:
+    """``doc_id``, ``key``, ``n_shingles``, ``component`` (of classes, null without a set) and ``component_id``, one row per row of ``docs``."""
     rows, classes, joined = link(docs, k, least)
     first = classes.select("class", "first_id", "h1", "h2").join(joined.withColumnRenamed("node", "class"), "class", "left")
     first = stored(first.withColumn("component", F.coalesce("component", F.col("class"))), "class-components")
     smallest = stored(first.groupBy("component").agg(F.min("first_id").alias("component_id")), "component-ids")
-    of_class = stored(first.join(smallest, "component").select("h1", "h2", "component_id"), "class-ids")
+    of_class = stored(first.join(smallest, "component").select("h1", "h2", "component", "component_id"), "class-ids")
     return rows.select("doc_id", "key", F.col("n").alias("n_shingles"), "h1", "h2").join(of_class, ["h1", "h2"], "left").select(
-        "doc_id", "key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        "doc_id", "key", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def find(docs: DataFrame, k: int = K, least: float = 0.75) -> DataFrame:
+    """``doc_id``, ``key``, ``n_shingles``, ``component_id``, ``kept``, one row per row of ``docs``."""
+    return _grouped(docs, k, least).drop("component").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def dedup(docs: DataFrame, k: int = K, least: float = 0.75) -> DataFrame:
-    """One document of each component, with all columns of ``docs``."""
-    kept = find(docs, k, least).filter("kept").select(F.col("key").alias("_newsledger_key"))
+    """One document of each component, with all columns of ``docs``: that with the smallest id (null last), then key."""
+    rows = _grouped(docs, k, least).select("component", "doc_id", "key")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("row")
+    chosen = rows.filter("component IS NOT NULL").groupBy("component").agg(smallest).select("row.key")
+    kept = stored(chosen.unionByName(rows.filter("component IS NULL").select("key")).select(F.col("key").alias("_newsledger_key")), "kept-keys")
     key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
     return docs.withColumn("_newsledger_key", key).join(kept, "_newsledger_key", "left_semi").dropDuplicates(["_newsledger_key"]).drop("_newsledger_key")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import zipfile
 from pathlib import Path
@@ -53,19 +54,31 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_shipped: set[tuple] = set()
+_shipped: set[tuple[str, str]] = set()
+
+
+def _package(folder: Path) -> tuple[str, list[tuple[str, bytes]]]:
+    """A package's source files by their place in an archive, and a name that no other contents have."""
+    files = [(str(p.relative_to(folder.parent)), p.read_bytes()) for p in sorted(folder.rglob("*.py"))]
+    digest = hashlib.sha256()
+    for place, content in files:
+        digest.update(f"{place}:{len(content)}:".encode() + content)
+    return f"{folder.name}-{digest.hexdigest()[:20]}.zip", files
 
 
 def ship_packages(spark: SparkSession, *folders: str | Path) -> None:
-    """Makes Python packages importable on the executors, once per application."""
+    """Makes Python packages importable on the executors, each contents once per application.
+
+    Every package is an archive of its own, named by its contents: any sets of folders may be shipped one after another.
+    """
     context = spark.sparkContext
-    names = tuple(sorted(str(f) for f in folders))
-    if (context.applicationId, names) in _shipped:
-        return
-    archive = Path(tempfile.mkdtemp(prefix="newsledger-code-")) / "newsledger_packages.zip"
-    with zipfile.ZipFile(archive, "w") as bundle:
-        for folder in map(Path, names):
-            for source in sorted(folder.rglob("*.py")):
-                bundle.write(source, source.relative_to(folder.parent))
-    context.addPyFile(str(archive))
-    _shipped.add((context.applicationId, names))
+    for folder in map(Path, folders):
+        name, files = _package(folder)
+        if (context.applicationId, name) in _shipped:
+            continue
+        archive = Path(tempfile.mkdtemp(prefix="newsledger-code-")) / name
+        with zipfile.ZipFile(archive, "w") as bundle:
+            for place, content in files:
+                bundle.writestr(zipfile.ZipInfo(place), content)
+        context.addPyFile(str(archive))
+        _shipped.add((context.applicationId, name))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("embeddings", "token_files", "packing", "exact", "quality", "ppm", "bpe", "templates", "toxicity", "minhash")
+MODULES = ("embeddings", "token_files", "packing", "exact", "quality", "ppm", "bpe", "templates", "toxicity", "minhash",
+           "audit", "novelty", "trie")
 
 
 def query(name: str, sql: str | None = None):

@@ -8,6 +8,7 @@ repeated values cost little, as the compressor refers back to them; a key or a g
 The identifiers come from the corpus: words in the surroundings of all sensitive words of all documents, counted by Spark.
 A word counts once for each different passage before a sensitive word, so copies of a document count once, and words with digits
 are never identifiers. The most frequent ones (``IDENTIFIERS``, bounded) prime the compressor, besides those of common code.
+Strings with digits or mixed letters are reported from ``BYTES_A_CHAR`` on, those of plain words from ``PLAIN_BYTES_A_CHAR`` on.
 
 Cases: null text counts as empty and has no spans; null and repeated ids keep all their rows; whole texts are read, of
 any length; offsets are code points; an empty table gives no rows; further columns are ignored.
@@ -35,12 +36,12 @@ HEX = re.compile("[0-9a-f]{24,}")
 ASSIGNED, ACCESS_LENGTH = 6, 20
 CODE = (
     "abstract access account address algorithm application argument array assert async attribute authorization await base64 "
-    "bearer bool boolean break bucket bytes callback case catch certificate char class client column command config connection "
-    "const constructor content context continue cookie credential credentials data database debug decode default define delete "
+    "bearer bool boolean break bucket builder bytes callback case catch certificate char class client column command config configuration connection "
+    "const constructor content context continue controller cookie credential credentials data database debug decode default define delete "
     "description dict digest document double else email encode encoding endpoint enum environment error event except export "
-    "extends false field file filename final finally float for format from function global group handler hash header headers host "
+    "extends factory false field file filename final finally float for format from function global group handler hash header headers host "
     "hostname http https identifier if implements import include index input instance int integer interface issuer item json "
-    "jwt key keys lambda length level library license list local localhost location log logger long map message method module "
+    "jwt key keys lambda length level library license list load local localhost location log logger long manager map message method module "
     "name namespace new null number object option options output package page parameter parameters params parse passphrase "
     "passwd password path payload port private profile project protected provider public query raise random read refresh "
     "region register request require response result return role root schema scope secret secrets self server service session "
@@ -56,8 +57,9 @@ SENSITIVE = re.compile(
 # Each match of SENSITIVE holds one of these, and each match of ASSIGN one of the first two lines.
 ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 HINTS = (*ASSIGN_HINTS, "passp", "passc", "credential", "key", "authori", "bearer", "signature", "connection", "pwd", "jwt", "auth")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.~=-]+")
+CANDIDATE = re.compile(r"(?<!\w)[A-Za-z0-9+/_.~=-]+(?!\w)")
 EDGES = "._-~="
+MIXED = re.compile("[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z].*[A-Z]")
 WORD = re.compile("[A-Za-z_]{3,32}")
 
 IDENTIFIERS = 4096
@@ -67,6 +69,7 @@ NEAR = 48
 AROUND = 512
 LEVEL = 6
 BYTES_A_CHAR = 0.66
+PLAIN_BYTES_A_CHAR = 0.9
 FOUND = "doc_id long, spans array<struct<kind:string,start:long,end:long,novelty:double>>"
 
 
@@ -110,7 +113,7 @@ class Novelty:
     def __init__(self, identifiers: str):
         import zstandard
 
-        known = zstandard.ZstdCompressionDict(f"{CODE} {identifiers}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known = zstandard.ZstdCompressionDict(f"{CODE} {CODE.title()} {identifiers}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         known.precompute_compress(level=LEVEL)
         self.compress = zstandard.ZstdCompressor(dict_data=known, write_content_size=False).compress
 
@@ -132,20 +135,22 @@ def spans(text: str, novelty: Novelty) -> list[dict]:
     found = []
     for start, kind, end in sorted(base + added):
         cost = novelty.bytes_a_char(text, start, end)
-        if kind < 3 or cost >= BYTES_A_CHAR:
+        if kind < 3 or cost >= (BYTES_A_CHAR if MIXED.search(text, start, end) else PLAIN_BYTES_A_CHAR):
             found.append({"kind": KINDS[kind], "start": start, "end": end, "novelty": cost})
     return found
 
 
 def _passages(batches):
-    """Words around sensitive words, each with a hash of the passage before the sensitive word."""
+    """Words around sensitive words, up to the next one on each side, with a hash of the passage before the sensitive word."""
     for batch, texts in slices(batches):
         seen = set()
         for text in texts:
-            for hit in sensitive(text, text.lower()):
-                passage = hashlib.blake2b(text[max(0, hit.start() - NEAR):hit.end()].encode(errors="replace"), digest_size=8).digest()
+            hits = sensitive(text, text.lower())
+            starts, ends = [h.start() for h in hits], [h.end() for h in hits]
+            for start, end, before, after in zip(starts, ends, [0, *ends], [*starts[1:], len(text)]):
+                passage = hashlib.blake2b(text[max(0, start - NEAR):end].encode(errors="replace"), digest_size=8).digest()
                 name = int.from_bytes(passage, "little", signed=True)
-                around = text[max(0, hit.start() - AROUND):hit.end() + AROUND]
+                around = text[max(before, start - AROUND):min(after, end + AROUND)]
                 seen.update((m[0], name) for m in WORD.finditer(around))
         words, names = zip(*seen) if seen else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(names, pa.int64())], ["word", "passage"])

@@ -1,3 +1,5 @@
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import register
@@ -5,6 +7,8 @@ from catalog.tables import ITEMS_SQL, documents_as_items, read
 from newsledger import schema as S
 from newsledger.functions.urls import dedup_key as key_of
 from newsledger.operators import items, roles, stored
+from newsledger.session import shared_folder
+from newsledger.sources.item_table import ItemTable
 
 # Stored rows and incoming rows overlap in French; together they are the whole table.
 STORED_LANGS, INCOMING_LANGS = ("en", "fr"), ("fr", "de", "es")
@@ -62,6 +66,35 @@ def existing_urls(spark, sf):
     return stored.existing_urls(new, old)
 
 
+def _split_with_filters(spark, sf):
+    """Stored and incoming rows; the stored ones are a table of the item writer's layout."""
+    old, new = _split(spark, sf)
+    table = ItemTable(spark, f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}")
+    table.append(old)
+    return table.read(), new
+
+
+@register(
+    "new_items_filtered",
+    f"""WITH {ITEMS_SQL} SELECT dedup_key, url, md5(body) AS body_md5 FROM items i WHERE {_INCOMING}
+    AND NOT EXISTS (SELECT 1 FROM items s WHERE s.{_STORED} AND s.url = i.url)""",
+)
+def new_items_filtered(spark, sf):
+    """As ``new_items``, with the incoming URLs as a filter on the stored table's scan as long as they are few."""
+    old, new = _split_with_filters(spark, sf)
+    return stored.new_items(new, stored.having(old, new, "url")).select("dedup_key", "url", F.md5("body").alias("body_md5"))
+
+
+@register(
+    "existing_urls_filtered",
+    f"""WITH {ITEMS_SQL} SELECT DISTINCT url FROM items WHERE {_INCOMING}
+    AND url IN (SELECT url FROM items WHERE {_STORED})""",
+)
+def existing_urls_filtered(spark, sf):
+    old, new = _split_with_filters(spark, sf)
+    return stored.existing_urls(new, stored.having(old, new, "url"))
+
+
 @register(
     "url_exists",
     f"""WITH {ITEMS_SQL} SELECT dedup_key, url IN (SELECT url FROM items WHERE {_STORED}) AS is_stored

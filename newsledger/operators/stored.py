@@ -9,6 +9,24 @@ from newsledger import schema as S
 from newsledger.operators.ranking import first_per_group
 
 
+FEW_KEYS = 4096
+LONGEST_KEY = 2048
+
+
+def having(stored: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``stored`` that may have one of the ``keys``, for any comparison by that key.
+
+    Up to ``FEW_KEYS`` distinct keys of at most ``LONGEST_KEY`` characters become a filter on the scan, which skips the row groups whose Bloom
+    filters or statistics hold none of them (an increment without keys reads nothing). With more keys it is the whole table; a join gives the same either way.
+    Evaluates ``keys``, which should be narrow or kept.
+    """
+    short = F.when(F.length(key) <= LONGEST_KEY, F.col(key))
+    few = [r[0] for r in keys.filter(F.col(key).isNotNull()).select(key).distinct().select(short).limit(FEW_KEYS + 1).collect()]
+    if len(few) > FEW_KEYS or None in few:
+        return stored
+    return stored.filter(F.col(key).isin(few)) if few else stored.limit(0)
+
+
 def known_keys(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """The stored keys which occur in ``incoming``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newsledger import schema as S
 from newsledger.operators.enrich import Factory
 from newsledger.operators.ranking import first_per_group
-from newsledger.operators.stored import known_keys, upsert_items
+from newsledger.operators.stored import having, known_keys, upsert_items
 from newsledger.plans.collect import Source, collect_entries, items_of
 from newsledger.plans.process import process_items
 from newsledger.session import materialize
@@ -25,13 +25,13 @@ def write_items(
 
     ``items`` is kept first unless ``keys`` names its keys (then one per key): it is read for its keys and again for the models. Rows with a new
     key are appended with all their columns. A stored row gets the safe columns, and its roles if ``options`` has roles; only the
-    buckets of such keys are rewritten. What is stored for a key depends on its own row alone.
+    partitions of such keys are rewritten. What is stored for a key depends on its own row alone.
     """
     if keys is None:
         order = [F.col(c).asc() for c in ("url", "title")] + [F.xxhash64("body", "source")]
         items = first_per_group(materialize(items), ["dedup_key"], order, 1)
         keys = items.select("dedup_key")
-    known = known_keys(keys, table.read(), "dedup_key")
+    known = known_keys(keys, having(table.read(), keys, "dedup_key"), "dedup_key")
     clash = not known.isEmpty()
     done = process_items(items, analyse, vectorise, keep=clash, **options)
     done = done.withColumn("created_at", F.current_timestamp())

@@ -1,13 +1,14 @@
-"""The stored item table as Parquet in a shared folder.
+"""The stored item table: Parquet in a shared folder, partitioned by the hash of the key.
 
-``rows/bucket=<b>/generation=<g>`` holds the rows whose key falls into bucket b; ``commits`` says which generation of each
-bucket counts and how many buckets there are. Inserting adds files to the current generations. Updating writes new generations of the buckets it
-touches and makes them visible with commit rows written last, so a job that dies half-way leaves the table as it was, and no file
-that counts is ever overwritten. A table whose commits cannot be found although it has rows is an error, never an empty table.
+Spark's writer does the work: new rows are appended, and an update overwrites just the partitions that its keys fall into
+(dynamic partition overwrite), which are replaced when the job commits. ``dedup_key`` and ``url`` have Bloom filters in every
+row group, so looking for some keys (``operators.stored.having``) reads only row groups that may hold them. There is one writer at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,116 +16,58 @@ from pyspark.sql import types as T
 
 from newsledger import schema as S
 
-BUCKETS = 32
 # Why a model's answer could not be used; kept next to the row it concerns.
 ERRORS = ("analysis_error", "embedding_error")
-_COMMIT = "version int, buckets int, bucket int, generation int"
+# A filter lets one of 100,000 other keys pass, so looking for thousands of keys at once still skips nearly all row groups.
+BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true"} | {
+    f"parquet.bloom.filter.{k}#{c}": v for c in ("dedup_key", "url") for k, v in (("enabled", "true"), ("fpp", "0.00001"))
+}
 
 
 class ItemTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = S.ITEMS, buckets: int = BUCKETS):
-        self.spark, self.path, self.schema, self._new_buckets = spark, path.rstrip("/"), schema, buckets
+    """``digits``: a new table gets 16 ** digits partitions (3 for tens of terabytes); a stored one keeps its own."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = S.ITEMS, digits: int = 1):
+        self.spark, self.path, self.schema, self.digits = spark, path.rstrip("/"), schema, digits
+        errors = [T.StructField(c, T.StringType()) for c in ERRORS]
+        self.fields = [*schema.fields, *errors, T.StructField("part", T.StringType())]
 
-    def _found(self, part: str, schema: str) -> DataFrame | None:
-        """A part of the table, None where no such folder exists; any other trouble is raised."""
+    def rows(self) -> DataFrame:
+        """All columns; no rows where no such folder exists. Any other trouble is raised."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+            return self.spark.read.schema(T.StructType(self.fields)).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-
-    def _state(self) -> tuple[int, int, dict[int, int]]:
-        """Version, number of buckets, and the generation of each bucket; a new table gets its first commit."""
-        commits = self._found("commits", _COMMIT)
-        rows = [] if commits is None else commits.groupBy("bucket").agg(
-            F.max("version").alias("version"), F.max("buckets").alias("buckets"), F.max("generation").alias("generation")
-        ).collect()
-        if not rows:
-            if self._found("rows", "dedup_key string") is not None:
-                raise RuntimeError(f"{self.path} has rows but no commits")
-            self._commit(0, self._new_buckets, {-1: 0})
-            return 0, self._new_buckets, {}
-        return max(r.version for r in rows), max(r.buckets for r in rows), {r.bucket: r.generation for r in rows if r.bucket >= 0}
-
-    def version(self) -> int:
-        """How often rows were rewritten."""
-        return self._state()[0]
-
-    def ensure(self) -> ItemTable:
-        """Notes an empty table unless there is one."""
-        self._state()
-        return self
-
-    def _commit(self, version: int, buckets: int, generations: dict[int, int]) -> None:
-        rows = [(version, buckets, b, g) for b, g in generations.items()]
-        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-
-    @staticmethod
-    def _generation(generations: dict[int, int]) -> Column:
-        known = F.lit(0)
-        for number in sorted(set(generations.values()) - {0}):
-            known = F.when(F.col("bucket").isin([b for b, g in generations.items() if g == number]), number).otherwise(known)
-        return known
-
-    def _bucketed(self, df: DataFrame, buckets: int) -> DataFrame:
-        fields = [*self.schema.fields, *(T.StructField(c, T.StringType()) for c in ERRORS)]
-        columns = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-        return df.select(*columns).withColumn("bucket", self.bucket(F.col("dedup_key"), buckets))
-
-    @staticmethod
-    def bucket(key: Column, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-    def _all(self, state: tuple[int, int, dict[int, int]]) -> DataFrame:
-        fields = [*self.schema.fields, *(T.StructField(c, T.StringType()) for c in ERRORS)]
-        schema = T.StructType([*fields, T.StructField("bucket", T.IntegerType()), T.StructField("generation", T.IntegerType())])
-        rows = self._found("rows", schema)
-        rows = self.spark.createDataFrame([], schema) if rows is None else rows
-        return rows.filter(F.col("generation") == self._generation(state[2])).drop("generation")
+            return self.spark.createDataFrame([], T.StructType(self.fields))
 
     def read(self) -> DataFrame:
-        return self._all(self._state()).select(*[f.name for f in self.schema.fields])
+        return self.rows().select(*self.schema.names)
 
     def failed(self) -> DataFrame:
         """Stored rows whose analysis or vector failed, with the reasons."""
-        reasons = F.coalesce(*ERRORS).isNotNull()
-        return self._all(self._state()).filter(reasons).drop("bucket")
+        return self.rows().filter(F.coalesce(*ERRORS).isNotNull()).drop("part")
+
+    def part(self, key: str = "dedup_key") -> Column:
+        first = self.rows().select("part").first()
+        return F.substring(F.lpad(F.hex(F.xxhash64(key)), 16, "0"), 1, len(first.part) if first else self.digits)
 
-    def _write(self, rows: DataFrame, generation: Column, mode: str = "append") -> None:
-        # Few files per bucket; adaptive execution splits large buckets and merges small ones.
-        rows = rows.withColumn("generation", generation).hint("rebalance", F.col("bucket"))
-        rows.write.partitionBy("bucket", "generation").mode(mode).parquet(f"{self.path}/rows")
+    def _write(self, df: DataFrame, part: Column, mode: str) -> None:
+        known = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.fields[:-1]]
+        rows = df.select(*known).withColumn("part", part).hint("rebalance", F.col("part"))
+        rows.write.options(partitionOverwriteMode="dynamic", **BLOOM).partitionBy("part").mode(mode).parquet(self.path)
 
-    def append(self, df: DataFrame) -> int:
+    def append(self, df: DataFrame) -> None:
         """Adds rows whose keys are not stored; no stored file is rewritten."""
-        version, buckets, generations = self._state()
-        self._write(self._bucketed(df, buckets), self._generation(generations))
-        return version
+        self._write(df, self.part(), "append")
 
-    def merge(self, incoming: DataFrame, keys: DataFrame, upsert) -> int:
-        """Replaces the buckets that hold ``keys`` by ``upsert(stored rows, incoming rows)`` of theirs and appends the other rows.
+    def merge(self, incoming: DataFrame, keys: DataFrame, upsert: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Appends ``incoming`` and replaces the partitions that hold ``keys`` by ``upsert(stored rows, incoming rows)`` of theirs.
 
         Run again after a failure it gives the same table: rows appended before are then stored keys.
         """
-        version, buckets, generations = state = self._state()
-        touched = [r.bucket for r in keys.select(self.bucket(F.col("dedup_key"), buckets).alias("bucket")).distinct().collect()]
-        incoming = incoming.withColumn("__bucket", self.bucket(F.col("dedup_key"), buckets))
-        here = F.col("__bucket").isin(touched) if touched else F.lit(False)
-        self._write(self._bucketed(incoming.filter(~here), buckets), self._generation(generations))
-        if not touched:
-            return version
-        version += 1
-        stored = self._all(state).filter(F.col("bucket").isin(touched)).drop("bucket")
-        changed = upsert(stored, incoming.filter(here).drop("__bucket"))
-        self._write(self._bucketed(changed, buckets), F.lit(version))
-        self._commit(version, buckets, {b: version for b in touched})
-        return version
-
-    def replace(self, df: DataFrame) -> int:
-        """Publishes ``df`` (which may read the current rows) as all there is."""
-        version, buckets, _ = self._state()
-        version += 1
-        self._write(self._bucketed(df, buckets), F.lit(version))
-        self._commit(version, buckets, {b: version for b in range(buckets)})
-        return version
+        part = self.part()
+        here = [r.part for r in keys.select(part.alias("part")).distinct().collect()]
+        self._write(incoming.filter(~part.isin(here)), part, "append")
+        stored = self.rows().filter(F.col("part").isin(here)).drop("part")
+        self._write(upsert(stored, incoming.filter(part.isin(here))), part, "overwrite")

@@ -2,16 +2,24 @@
 
 Records are JSON files in a shared folder; a log source with the same three columns can stand in for
 them. Progress lives in the query's checkpoint: a micro-batch counts as read once its rows are written.
-A batch run again writes nothing twice, because stored URLs are skipped.
+
+URLs are compared twice. The query keeps the URLs it has seen as keyed state, each for a time limit, and drops their later records before
+any table is read; a micro-batch without new URLs reads none. What passes is compared with the stored table, which also knows URLs of other
+queries and of times past the limit. A batch run again writes nothing twice: it starts from the state before it, and stored URLs are skipped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from newsledger import schema as S
 from newsledger.functions.analysis import json_object
@@ -19,7 +27,7 @@ from newsledger.functions.text import let
 from newsledger.operators.enrich import Factory
 from newsledger.operators.items import to_items
 from newsledger.operators.ranking import first_per_group
-from newsledger.operators.stored import new_items
+from newsledger.operators.stored import having, new_items
 from newsledger.plans.store import write_items
 from newsledger.sources.item_table import ItemTable
 
@@ -44,7 +52,7 @@ def read_records(spark: SparkSession, folder: str, max_files: int | None = None,
     """
     reader = spark.readStream.schema(S.STREAM_RECORD)
     reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader.option("maxBytesPerTrigger", max_bytes)
-    arrived = F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("arrived")
+    arrived = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start").alias("arrived")
     return reader.json(folder).select("*", arrived)
 
 
@@ -104,6 +112,93 @@ def decode_records(records: DataFrame) -> DataFrame:
     )
 
 
+SEEN_FOR_HOURS = 24 * 7
+# What a query with keyed state and time limits runs with: state in RocksDB, and no batches without data, which would never end.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+# Unreadable records have no URL to go by: they pass the state under so many keys.
+PASSING = 1024
+
+
+class SeenUrls(StatefulProcessor):
+    """Lets the first record of each URL pass, and every record whose key says that it has none."""
+
+    def __init__(self, hours: float):
+        self.hours = hours
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("seen", T.BooleanType())]), int(self.hours * 3_600_000))
+
+    def handleInputRows(self, key, rows: Iterator, timerValues) -> Iterator:
+        if key[0].startswith("-"):
+            yield from rows
+            return
+        first = min(rows, key=lambda r: r["__order"])
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield first
+
+    def close(self) -> None:
+        pass
+
+
+def _first_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first record of each URL in every Arrow batch, so that a hot URL is few rows before it is shuffled.
+
+    Records are numbered as the task reads them, which tells those of one file apart.
+    """
+    start = 0
+    for batch in batches:
+        order = pc.sort_indices(batch.select(["__key", "__order"]), sort_keys=[("__key", "ascending"), ("__order", "ascending")])
+        keys, kept, last = batch.column("__key").take(order).to_pylist(), [], None
+        for key, at in zip(keys, order.to_pylist()):
+            if key != last or key.startswith("-"):
+                kept.append(at)
+            last = key
+        first = batch.take(pa.array(kept, pa.int64()))
+        texts = [f"{text} {start + at:015d}" for text, at in zip(first.column("__order").to_pylist(), kept)]
+        start += batch.num_rows
+        yield first.set_column(first.schema.get_field_index("__order"), "__order", pa.array(texts, pa.string()))
+
+
+def _sorting_texts(kind: T.DataType, value: Column) -> list[Column]:
+    """Texts that sort as the value does; a struct gives one per field."""
+    if isinstance(kind, T.StructType):
+        return [text for f in kind.fields for text in _sorting_texts(f.dataType, value[f.name])]
+    if isinstance(kind, T.TimestampType):
+        return [F.coalesce(F.date_format(value, "yyyyMMddHHmmssSSSSSS"), F.lit(""))]
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        return [F.coalesce(F.lpad(F.hex(value.cast("long").bitwiseXOR(F.lit(-1 << 63))), 16, "0"), F.lit(""))]  # negative ones first
+    return [F.coalesce(value.cast("string"), F.lit(""))]
+
+
+def unseen_records(decoded: DataFrame, hours: float = SEEN_FOR_HOURS) -> DataFrame:
+    """Of a stream of decoded records those whose URL was not seen in the last ``hours``, the first to arrive of each, and all unreadable ones.
+
+    State is one flag per URL, dropped after the time limit; it is part of the query's checkpoint. Start the query with ``start``.
+    """
+    passing = F.concat(F.lit("-"), F.pmod(F.xxhash64("payload", "raw_run_id"), F.lit(PASSING)).cast("string"))
+    key = F.when(F.col("decode_error").isNull(), F.concat(F.lit("u"), "url")).otherwise(passing)
+    order = [text for c in ("arrived",) if c in decoded.columns for text in _sorting_texts(decoded.schema[c].dataType, F.col(c))]
+    keyed = decoded.withColumns({"__key": key, "__order": F.concat_ws(" ", *order)})
+    first = keyed.mapInArrow(_first_of_batch, keyed.schema).groupBy("__key")
+    return first.transformWithState(SeenUrls(hours), keyed.schema, "Append", "ProcessingTime").drop("__key", "__order")
+
+
+def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Starts a query with the settings that ``unseen_records`` needs; the session keeps its own for other queries."""
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        return writer.start()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def fresh_records(decoded: DataFrame, stored: DataFrame) -> DataFrame:
     """Readable records whose URL is not stored, one per URL: the first to arrive, however the stream is cut into batches."""
     readable = decoded.filter(F.col("decode_error").isNull())
@@ -113,24 +208,26 @@ def fresh_records(decoded: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def write_batch(
-    records: DataFrame, batch_id: int, table: ItemTable, dead_letters: str, analyse: Factory,
+    decoded: DataFrame, batch_id: int, table: ItemTable, dead_letters: str, analyse: Factory,
     vectorise: Factory, query_id: str = "batch", **options,
 ) -> None:
-    """Works off one micro-batch.
+    """Works off one micro-batch of decoded records.
 
     Records that cannot be read go to a dead-letter folder of their own per query and batch, which only the same
-    batch run again overwrites. The decoded micro-batch is cached while it is worked on; its size is bounded by
-    the reader's settings.
+    batch run again overwrites. The micro-batch is cached while it is worked on; its size is bounded by
+    the reader's settings. Without readable records no table is read.
     """
-    numbered = records.withColumn("row", F.monotonically_increasing_id())
-    decoded = decode_records(numbered).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         letters = decoded.filter(F.col("decode_error").isNotNull()).select(
             "source", "payload", F.col("raw_run_id").alias("pipeline_run_id"), "decode_error"
         )
         if not letters.isEmpty():
             letters.write.mode("overwrite").json(f"{dead_letters}/query_id={query_id}/batch_id={batch_id}")
-        fresh = fresh_records(decoded, table.read())
+        readable = decoded.filter(F.col("decode_error").isNull())
+        if readable.isEmpty():
+            return
+        fresh = fresh_records(decoded, having(table.read(), readable, "url"))
         items = to_items(fresh, F.col("pipeline_run_id"))
         # One row per key as well: URL and title are joined without a separator.
         items = first_per_group(items, ["dedup_key"], [F.col("url").asc()], 1)
@@ -142,20 +239,20 @@ def write_batch(
 def start_worker(
     records: DataFrame, table: ItemTable, checkpoint: str, dead_letters: str, analyse: Factory,
     vectorise: Factory, policy: str = "mask", available_now: bool = False, interval: str = "5 seconds",
-    **options,
+    seen_for_hours: float = SEEN_FOR_HOURS, **options,
 ) -> StreamingQuery:
     """Starts working off the stream; ``available_now`` stops after what is there."""
-    table.ensure()
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        here = ItemTable(batch.sparkSession, table.path, table.schema)
+        here = ItemTable(batch.sparkSession, table.path, table.schema, table.digits)
         # The query's id lives in its checkpoint: a new checkpoint counts its batches from 0 under another id.
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         write_batch(batch, batch_id, here, dead_letters, analyse, vectorise, query_id, policy=policy, **options)
 
-    writer = records.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+    fresh = unseen_records(decode_records(records), seen_for_hours)
+    writer = fresh.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    return start(writer.trigger(**trigger), records.sparkSession)
 
 
 LETTER = "source string, payload string, pipeline_run_id string, decode_error string, query_id string, batch_id long"

@@ -142,46 +142,66 @@ def test_query(spark):
     assert "TakeOrderedAndProject" in plan_of(search.intel_query(df, "one"))
 
 
-def test_item_table_versions(spark, tmp_path):
+def test_item_table(spark, tmp_path):
     table = ItemTable(spark, f"{tmp_path}/items")
-    assert table.version() == 0 and table.read().count() == 0
+    assert table.read().count() == 0
     row = spark.createDataFrame([("k1", "s", "t")], "dedup_key string, source string, title string")
-    assert table.append(row) == 0 and table.append(row.withColumn("dedup_key", F.lit("k2"))) == 0
+    table.append(row)
+    table.append(row.withColumn("dedup_key", F.lit("k2")))
     assert table.read().count() == 2
     changed = row.withColumn("title", F.lit("new"))
-    assert table.merge(changed, row.select("dedup_key"), stored.upsert_items) == 1
+    table.merge(changed, row.select("dedup_key"), stored.upsert_items)
     assert {r.dedup_key: r.title for r in table.read().collect()} == {"k1": "new", "k2": "t"}
-    # rows of a generation without its commit are not seen
-    spark.range(1).selectExpr("'k9' dedup_key", "0 bucket", "7 generation").write.partitionBy("bucket", "generation").mode("append").parquet(f"{tmp_path}/items/rows")
-    assert table.version() == 1 and table.read().count() == 2
-    assert table.replace(changed) == 2 and table.read().count() == 1
-    assert table.append(row.withColumn("dedup_key", F.lit("k3"))) == 2 and table.read().count() == 2
-    assert [f.name for f in table.read().schema] == [f.name for f in S.ITEMS]
-
-
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    table = ItemTable(spark, f"{tmp_path}/items", buckets=8)
-    rows = spark.range(200).selectExpr("concat('k', id) dedup_key", "'s' source", "'t' title")
-    table.append(rows)
+    table.merge(changed, row.select("dedup_key"), stored.upsert_items)  # run again
+    assert table.read().count() == 2
+    table.append(row.withColumn("dedup_key", F.lit(None).cast("string")))
+    assert table.read().count() == 3 and [f.name for f in table.read().schema] == [f.name for f in S.ITEMS]
+
+
+def files(folder):
+    return {str(p) for p in folder.rglob("*.parquet")}
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    table = ItemTable(spark, f"{tmp_path}/items", digits=1)
+    table.append(spark.range(200).selectExpr("concat('k', id) dedup_key", "'s' source", "'t' title"))
+    before = files(tmp_path / "items")
     change = spark.createDataFrame([("k5", "s", "new"), ("x1", "s", "x")], "dedup_key string, source string, title string")
     table.merge(change, change.filter("dedup_key = 'k5'"), stored.upsert_items)
     assert table.read().count() == 201 and table.read().filter("title = 'new'").count() == 1
-    generations = spark.read.parquet(f"{tmp_path}/items/rows").select("bucket", "generation").distinct().collect()
-    assert len(generations) == 9 and sum(r.generation == 1 for r in generations) == 1
+    gone = before - files(tmp_path / "items")
+    assert len({p.split("part=")[1][0] for p in before}) == 16 and len({p.split("part=")[1][0] for p in gone}) == 1
+    # A table keeps its partitions, whatever later jobs would choose.
+    ItemTable(spark, f"{tmp_path}/items", digits=2).append(change.withColumn("dedup_key", F.lit("k900")))
+    assert {len(p.split("part=")[1].split("/")[0]) for p in files(tmp_path / "items")} == {1}
 
 
-def test_a_table_with_rows_but_no_commits_is_an_error(spark, tmp_path):
-    import shutil
+def rows_scanned(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
 
+
+def test_some_keys_are_looked_up_in_few_row_groups(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("sha2(cast(id as string), 256) dedup_key", "concat('https://news.example/', md5(cast(id as string))) url", "'s' source", "'t' title")
     table = ItemTable(spark, f"{tmp_path}/items")
-    row = spark.createDataFrame([("k1", "s", "t")], "dedup_key string, source string, title string")
-    table.append(row)
-    shutil.copytree(f"{tmp_path}/items/rows", f"{tmp_path}/other/rows")
-    lost = ItemTable(spark, f"{tmp_path}/other")
-    for use in (lost.read, lambda: lost.append(row), lost.version):
-        with pytest.raises(RuntimeError):
-            use()
-    assert spark.read.parquet(f"{tmp_path}/other/rows").count() == 1
+    spark.conf.set("parquet.block.size", str(1 << 16))
+    spark._jsc.hadoopConfiguration().set("parquet.block.size", str(1 << 16))
+    try:
+        table.append(rows)
+    finally:
+        spark._jsc.hadoopConfiguration().unset("parquet.block.size")
+        spark.conf.unset("parquet.block.size")
+    for key in ("url", "dedup_key"):
+        some = table.read().select(key).limit(2)
+        others = spark.range(1000).select(F.concat(F.lit("no such key "), "id").alias(key))
+        assert rows_scanned(stored.having(table.read(), others, key).select(key)) == 0
+        found = stored.having(table.read(), some.unionByName(others), key).select(key)
+        assert 2 <= rows_scanned(found) < 20_000 and found.count() == 2
+    # Too many keys, or too long ones: the table as it is. No keys: nothing.
+    many = spark.range(stored.FEW_KEYS + 1).select(F.concat(F.lit("u"), "id").alias("url"))
+    long = spark.range(1).select(F.repeat(F.lit("x"), stored.LONGEST_KEY + 1).alias("url"))
+    none = spark.range(1).select(F.lit(None).cast("string").alias("url"))
+    assert [stored.having(table.read(), k, "url").count() for k in (many, long, none)] == [40_000, 40_000, 0]
 
 
 def test_insert_takes_the_first_in_order(spark):

@@ -84,6 +84,26 @@ def pii_custom(spark, sf):
     return read(spark, sf, "documents").select("doc_id", scanner.mask(F.col("text")).alias("masked"))
 
 
+KEYWORDS = 5_000
+
+
+@register(
+    "pii_custom_many",
+    f"""WITH hit AS (SELECT k.p_partkey, min(j.p_partkey) AS word FROM part k JOIN part j ON j.p_name = k.p_name
+      AND starts_with(k.p_partkey::VARCHAR, j.p_partkey::VARCHAR) AND j.p_partkey < {KEYWORDS} GROUP BY k.p_partkey)
+    SELECT p_partkey, CASE WHEN word IS NULL THEN 'Order of ' || p_name || ' ' || p_partkey
+      ELSE 'Order of {CUSTOM_PLACEHOLDER}' || substr(p_partkey::VARCHAR, length(word::VARCHAR) + 1) END || ' from ' || p_brand AS masked
+    FROM part LEFT JOIN hit USING (p_partkey)""",
+)
+def pii_custom_many(spark, sf):
+    """Article names and numbers as the caller's keywords, in the order of their numbers: the first that matches wins, not the longest."""
+    part = read(spark, sf, "part")
+    article = F.concat_ws(" ", "p_name", "p_partkey")
+    words = [r[0] for r in part.filter(F.col("p_partkey") < KEYWORDS).orderBy("p_partkey").select(article).collect()]
+    text = F.concat(F.lit("Order of "), article, F.lit(" from "), "p_brand")
+    return part.select("p_partkey", PiiScanner(words).mask(text).alias("masked"))
+
+
 @register(
     "quarantine",
     f"""WITH {ITEMS_SQL}, f AS (SELECT *, NOT ({sql_pii.is_safe('body')}) AS hit FROM items)

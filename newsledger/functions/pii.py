@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsledger.functions.keywords import escape_literal, keyword_pattern
 from newsledger.functions.text import let
 
 # --------------------------------------------------------------------------------------------------
@@ -121,11 +122,6 @@ def jvm_pattern(pattern: str) -> str:
     return pattern.replace(r"\d", _DIGIT).replace(r"\b", _EDGE)
 
 
-def escape_literal(text: str) -> str:
-    """A pattern matching exactly ``text``."""
-    return re.sub(r"([\x00-\x7f])", lambda m: m[1] if m[1].isalnum() or m[1] == "_" else "\\" + m[1], text)
-
-
 def custom_rule(keywords: list[str]) -> PiiRule:
     """The lowest rule: any of the caller's literal keywords, tried in the caller's order."""
     for word in keywords:
@@ -133,9 +129,12 @@ def custom_rule(keywords: list[str]) -> PiiRule:
             raise ValueError("an empty keyword would match everywhere")
         if any(c in word for c in (_MARK, _SLOT, _STAND_IN)):
             raise ValueError("keywords must not hold the noncharacters U+FDD0 to U+FDD2")
-    firsts = sorted({w[0] for w in keywords})
-    first = "|".join(escape_literal(c) for c in firsts)
-    return PiiRule(CUSTOM_KIND, CUSTOM_PLACEHOLDER, "|".join(map(escape_literal, keywords)), first)
+    first = f"[{''.join(escape_literal(c) for c in sorted({w[0] for w in keywords}))}]"
+    return PiiRule(CUSTOM_KIND, CUSTOM_PLACEHOLDER, keyword_pattern(keywords), first)
+
+
+# So many keywords are looked for one by one, more of them by their common pattern.
+SINGLE_KEYWORDS = 8
 
 
 class PiiScanner:
@@ -171,6 +170,8 @@ class PiiScanner:
         if fixed:
             needed = "".join(dict.fromkeys(jvm_pattern(r.needs) for r in fixed))
             gate = text.rlike(f"[{needed}]")
+        if len(self.keywords) > SINGLE_KEYWORDS:
+            return gate | text.rlike(jvm_pattern(self.rules[-1].pattern))
         for word in self.keywords:
             gate = gate | text.contains(word)
         return gate

@@ -1,4 +1,5 @@
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,10 @@ from newsledger.operators.enrich import attach_analysis as attach
 from newsledger.operators.enrich import embed as embed_rows
 from newsledger.operators.enrich import enrich as enrich_rows
 from newsledger.operators.quality import contract_check as check_contract
+from newsledger.operators.quality import with_flags
 from newsledger.plans.process import process_items
+from newsledger.session import materialize, shared_folder
+from newsledger.sources.answers import AnswerTable
 
 
 def _prompt_sql(title: str, content: str, chars: int | None = None) -> str:
@@ -262,6 +266,40 @@ def embed(spark, sf):
     )
 
 
+@register(
+    "answers_by_content",
+    f"""WITH {ITEMS_SQL}, {_answers_sql("items", _TITLE_BODY)},
+    v AS (SELECT count(*) AS n_rows, count(DISTINCT body) AS n_texts, sum(length(body)) AS n_letters FROM items),
+    a AS (SELECT count(*) AS n_rows, count(DISTINCT prompt) AS n_texts, count(DISTINCT prompt) FILTER (contains(prompt, 'zz')) AS n_refused,
+      count(*) FILTER (failed) AS n_errors FROM answered)
+    SELECT 'vectors' AS model, 1 AS run, n_rows, n_texts AS n_calls, 0::BIGINT AS n_errors, n_letters::DOUBLE AS total FROM v
+    UNION ALL SELECT 'vectors', 2, n_rows, 0, 0, n_letters FROM v
+    UNION ALL SELECT 'analysis', 1, n_rows, n_texts, n_errors, 0 FROM a
+    UNION ALL SELECT 'analysis', 2, n_rows, n_refused, n_errors, 0 FROM a""",
+)
+def answers_by_content(spark, sf):
+    """Documents with copies through two models that keep their answers, twice: texts answered once are not asked again, refused ones are."""
+    items = documents_as_items(spark, sf).select("title", "body").withColumn("prompt", A.build_prompt(F.col("title"), F.col("body")))
+    folder, out = f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}", None
+    for run in (1, 2):
+        for model in ("vectors", "analysis"):
+            table, kind = AnswerTable(spark, folder, model), "array<float>" if model == "vectors" else "string"
+            before = table.rows(kind).select("run").distinct()
+            before = spark.createDataFrame(before.collect(), "run string")
+            if model == "vectors":
+                done = embed_rows(items, "body", letter_counter, answers=table).withColumn("failed", F.col("embedding_error").isNotNull())
+                letters = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+            else:
+                done = enrich_rows(items, "prompt", analyst, answers=table).withColumn("failed", F.col("analysis_error").isNotNull())
+                letters = F.lit(0.0)
+            rows = done.agg(F.count("*").alias("n_rows"), F.sum(F.col("failed").cast("long")).alias("n_errors"), F.sum(letters).alias("total"))
+            calls = table.rows(kind).join(before, "run", "left_anti").agg(F.count("*").alias("n_calls"))
+            counted = rows.join(calls).select(F.lit(model).alias("model"), F.lit(run).alias("run"), "n_rows", "n_calls", "n_errors", "total")
+            counted = materialize(counted)
+            out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 @register(
     "safe_vector",
     """SELECT vec_id, CASE WHEN label % 3 = 2 THEN true ELSE false END AS is_kept, 64 AS n_dims,
@@ -294,9 +332,11 @@ def safe_vector(spark, sf):
       (key_unique, body_long, summary_long, vector_usable, pii_free))""",
 )
 def contract_check(spark, sf):
-    vectors = read(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    items = documents_as_items(spark, sf).join(vectors, "doc_id", "left")
-    return check_contract(items.withColumn("dedup_key", F.sha2("body", 256)), dim=64)
+    vectors = with_flags(read(spark, sf, "embeddings"), "vector_usable", dim=64).select(F.col("vec_id").alias("doc_id"), "vector_usable")
+    texts = with_flags(documents_as_items(spark, sf), "body_long", "summary_long", "pii_free")
+    texts = texts.select("doc_id", F.sha2("body", 256).alias("dedup_key"), "body_long", "summary_long", "pii_free")
+    items = texts.join(vectors, "doc_id", "left").withColumn("vector_usable", F.coalesce("vector_usable", F.lit(False)))
+    return check_contract(items, dim=64)
 
 
 _DONE = """SELECT dedup_key, new_category AS category, summary, CAST(importance AS INTEGER) AS importance,

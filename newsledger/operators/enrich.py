@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from newsledger import schema as S
 from newsledger.functions.analysis import parse_analysis
 from newsledger.functions.vectors import safe_vector
+from newsledger.sources.answers import AnswerTable
 
 BatchFunction = Callable[[list[str]], list]
 Factory = Callable[[], BatchFunction]
@@ -47,15 +48,28 @@ def _answers(function: BatchFunction, texts: list[str], vectors: bool = False) -
 
 def call_model(
     df: DataFrame, text: str, factory: Factory, out: str, error: str,
-    answer_type: str = "string", batch_size: int = 32, partitions: int | None = None,
+    answer_type: str = "string", batch_size: int = 32, partitions: int | None = None, answers: AnswerTable | None = None,
 ) -> DataFrame:
     """Adds the answer ``out`` and the message ``error`` for every row with a non-null ``text``.
 
+    With ``answers`` equal texts are asked once and texts answered in an earlier run not at all; ``df`` is then read twice, so keep it
+    if it is costly. Without, every row is a call.
+
     Only ``text`` travels to Python. ``partitions`` sets the number of calls in flight at the price of
     a shuffle; by default the partitioning stays. The UDF counts as non-deterministic: Spark neither
     duplicates it nor moves it over other operators.
     """
 
+    if answers is not None:
+        def ask(texts: DataFrame) -> DataFrame:
+            return call_model(texts, "text", factory, "answer", "error", answer_type, batch_size, partitions)
+
+        keyed = df.withColumn("__key", F.sha2(F.col(text), 256))
+        texts = keyed.filter(F.col("__key").isNotNull()).select(F.col("__key").alias("key"), F.col(text).alias("text"))
+        found = answers.ask(texts, ask, answer_type)
+        found = found.select(F.col("key").alias("__key"), F.col("answer").alias(out), F.col("error").alias(error))
+        return keyed.join(found, "__key", "left").select(*df.columns, out, error)
+
     vectors = answer_type != "string"
 
     @F.pandas_udf(f"answer {answer_type}, error string")

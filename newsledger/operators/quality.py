@@ -27,6 +27,15 @@ def contract_rules(scanner: PiiScanner | None = None, dim: int = S.EMBEDDING_DIM
     }
 
 
+def with_flags(rows: DataFrame, *names: str, **options) -> DataFrame:
+    """Adds the named rules as boolean columns, for ``contract_check`` to find.
+
+    Texts and vectors that lie in different tables are flagged there, so only flags and keys meet in the join.
+    """
+    rules = contract_rules(**options)
+    return rows.withColumns({n: rules[n] for n in names})
+
+
 def contract_check(items: DataFrame, key: str = "dedup_key", **options) -> DataFrame:
     """``(rule, n_rows, n_failed)`` over the table, ``key_unique`` counting the rows whose key occurs
     more than once.
@@ -34,7 +43,7 @@ def contract_check(items: DataFrame, key: str = "dedup_key", **options) -> DataF
     One aggregation per key with map-side counting, so a key with most of the rows is a single row
     after the shuffle; the totals follow from the per-key counts.
     """
-    rules = contract_rules(**options)
+    rules = {n: F.col(n) if n in items.columns else c for n, c in contract_rules(**options).items()}
     flagged = items.select(F.col(key).alias("key"), *[c.alias(n) for n, c in rules.items()])
     per_key = flagged.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(~F.col(n)).alias(n) for n in rules]

@@ -13,13 +13,14 @@ from newsledger.operators.enrich import Factory, attach_analysis, embed, enrich
 from newsledger.operators.pii import is_cloud_safe
 from newsledger.operators.roles import roles_to_ids
 from newsledger.session import materialize
+from newsledger.sources.answers import AnswerTable
 
 
 def process_items(
     items: DataFrame, analyse: Factory, vectorise: Factory, policy: str = "quarantine",
     columns: tuple[str, ...] = ("body",), scanner: PiiScanner | None = None,
     roles: DataFrame | None = None, dim: int = S.EMBEDDING_DIM, partitions: int | None = None,
-    keep: bool = True, prompt_chars: int | None = None,
+    keep: bool = True, prompt_chars: int | None = None, answers: AnswerTable | None = None, vectors: AnswerTable | None = None,
 ) -> DataFrame:
     """Items ready to be written.
 
@@ -27,6 +28,8 @@ def process_items(
     importance and the constant vector, keep the raw body and never reach the model. ``policy='mask'``:
     those columns are masked, every item is analysed and the masked text is stored.
 
+    ``answers`` and ``vectors`` keep what the models say by content, so equal prompts are asked once and never again in later runs.
+
     ``prompt_chars`` bounds how much of a body the model gets; by default it gets all.
 
     No branch is split off and united again; a null prompt keeps an item away from the model. With
@@ -43,7 +46,7 @@ def process_items(
     else:
         work = items.withColumn("is_quarantined", ~is_cloud_safe(columns, scanner))
     prompt = F.when(~F.col("is_quarantined"), build_prompt(F.col("title"), F.col("body"), prompt_chars))
-    work = enrich(work.withColumn("__prompt", prompt), "__prompt", analyse, partitions=partitions)
+    work = enrich(work.withColumn("__prompt", prompt), "__prompt", analyse, partitions=partitions, answers=answers)
     work = attach_analysis(work.drop("__prompt"))
     hit = F.col("is_quarantined")
     work = work.withColumns(
@@ -55,7 +58,7 @@ def process_items(
             "__text": F.when(~hit, F.concat_ws(" ", "title", "summary")),
         }
     )
-    work = embed(work, "__text", vectorise, dim=dim).drop("__text")
+    work = embed(work, "__text", vectorise, dim=dim, answers=vectors).drop("__text")
     work = work.withColumn("embedding", F.coalesce("embedding", constant_vector(dim)))
     if keep:
         work = materialize(work)

@@ -182,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", parts: int
     """The model learned from the labelled rows of ``docs`` outside fold ``held_out`` of ``parts``."""
     sample, log_odds = training_rows(labels, column, parts, held_out, settings.per_class)
     schema = "doc_id long, y int, features binary, plus array<binary>, minus array<binary>"
-    table = sample_texts(docs, sample).mapInArrow(_sample_features, schema).toArrow().sort_by("doc_id")
+    table = sample_texts(docs, sample).mapInArrow(_sample_features, schema).toArrow()
+    table = table.sort_by([(c, "ascending") for c in ("doc_id", "y", "features")])
     rows = [(y, np.frombuffer(f, "<u8")) for y, f in zip(table.column("y").to_pylist(), table.column("features").to_pylist())]
     swaps = [
         (np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"))

@@ -3,18 +3,20 @@
 The pre-tokenizers of both vocabularies never join characters across a step from a non-space to a space, so
 texts may be cut there and the pieces encoded by the tokenizers library one by one, with the ids of a piece
 kept for its next occurrence. Texts with white space that the rule does not cover go to the library whole.
-The kept pieces are bounded (``kept`` entries of at most ``LONGEST`` characters, then started anew).
+The kept pieces are bounded by memory: when they are too many, those that returned most often stay. Long pieces and longer
+numbers, which seldom return, are not kept.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
 
+from newsledger.llm.shared import kept_by_worker
+
 # The names of the vocabulary files, and white space other than the blank and the line feed.
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -35,8 +37,11 @@ def byte_chars() -> dict[int, int]:
 
 
 _BYTE_CHARS = byte_chars()
-LONGEST = 256
+LONGEST = 48
+LONGEST_NUMBER = 4
+PIECE_BYTES = 250
 PART = 1_500_000
+_DIGIT = re.compile("[0-9]")
 
 
 def vocabulary(name: str) -> str:
@@ -49,19 +54,21 @@ def vocabulary(name: str) -> str:
 class ChunkEncoder:
     """``encode(texts)`` gives one flat array of ids and the number of ids per text."""
 
-    def __init__(self, path: str, kept: int = 750_000):
+    def __init__(self, path: str, megabytes: int = 190):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kept = kept
+        # A kept piece takes some 250 bytes: its text, its place in the index and the arrays, its ids.
+        self.kept = megabytes * 1_000_000 // PIECE_BYTES
         self._clear()
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
+        self.lengths = np.zeros(1 << 16, np.int32)
+        self.hits = np.zeros(1 << 16, np.int32)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.entries = self.used = 0
 
@@ -81,21 +88,44 @@ class ChunkEncoder:
         """Whether normalising leaves the chunk as it is."""
         return True
 
-    def _add(self, keys: list[str]) -> None:
-        ids, counts = self._encode_new([self.chunk(key) for key in keys])
+    def _add(self, keys: list[str]) -> int:
+        """Adds distinct keys, those not to be kept last; gives the number of those that are kept."""
+        passing = [len(k) > LONGEST or (len(k) > LONGEST_NUMBER and _DIGIT.search(k) is not None) for k in keys]
+        kept = [k for k, p in zip(keys, passing) if not p]
+        for part in (kept, [k for k, p in zip(keys, passing) if p]):
+            self._append(part, *self._encode_new([self.chunk(k) for k in part]))
+        return len(kept)
+
+    def _append(self, keys: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         n, total = len(keys), len(ids)
         while self.entries + n > len(self.starts):
-            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
+            self.starts, self.lengths, self.hits = (np.resize(a, 2 * len(a)) for a in (self.starts, self.lengths, self.hits))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.ids[self.used:self.used + total] = ids
         rows = slice(self.entries, self.entries + n)
         self.starts[rows] = self.used + np.cumsum(counts) - counts
         self.lengths[rows] = counts
+        self.hits[rows] = 0
         self.index.update(zip(keys, range(self.entries, self.entries + n)))
         self.entries += n
         self.used += total
 
+    def _shrink(self) -> None:
+        """Keeps the half of the pieces that returned most often; what a piece has returned counts half from then on."""
+        hits = self.hits[:self.entries]
+        least = max(1, int(np.partition(hits, self.entries // 2)[self.entries // 2]) + 1)
+        stay = np.flatnonzero(hits >= least)
+        counts = self.lengths[stay].astype(np.int64)
+        ends = np.cumsum(counts)
+        self.used = int(ends[-1]) if len(ends) else 0
+        self.ids[:self.used] = self.ids[np.repeat(self.starts[stay] - (ends - counts), counts) + np.arange(self.used)]
+        place = np.full(self.entries, -1)
+        place[stay] = np.arange(len(stay))
+        self.index = {k: at for k, at in zip(self.index, place[np.fromiter(self.index.values(), np.int64, len(self.index))].tolist()) if at >= 0}
+        self.entries = len(stay)
+        self.starts[:self.entries], self.lengths[:self.entries], self.hits[:self.entries] = ends - counts, counts, hits[stay] // 2
+
     def keys(self, text: str) -> list[str]:
         """Keys of the pieces of the text that may be encoded apart: a word after a blank, or \\x01 and a piece as it is."""
         if not text:
@@ -122,21 +152,25 @@ class ChunkEncoder:
         pieces = [self.keys(text) for text in texts]
         flat = list(chain.from_iterable(pieces))
         if self.entries > self.kept:
-            self._clear()
+            self._shrink()
         at = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
         unknown = np.flatnonzero(at < 0)
+        new, kept, before = [], 0, self.entries
         if len(unknown):
             missing = [flat[i] for i in unknown.tolist()]
             new = list(dict.fromkeys(missing))
-            self._add(new)
+            kept = self._add(new)
             at[unknown] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(missing))
-            for key in new:
-                if len(key) > LONGEST:
-                    del self.index[key]
-        counts = self.lengths[at]
+        self.hits[:self.entries] += np.bincount(at, minlength=self.entries).astype(np.int32)
+        counts = self.lengths[at].astype(np.int64)
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)]
+        if kept < len(new):
+            # The pieces not to be kept are the last ones.
+            for key in [k for k in new if self.index[k] >= before + kept]:
+                del self.index[key]
+            self.entries, self.used = before + kept, int(self.starts[before + kept])
         borders = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
         sums = np.concatenate([[0], ends])[borders]
         return ids, np.diff(sums, prepend=0)
@@ -159,10 +193,9 @@ class WordEncoder(ChunkEncoder):
         return chunk.islower() and chunk[0] != " " and unicodedata.is_normalized("NFC", chunk)
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    """The worker's encoder, kept from task to task."""
-    return WordEncoder(path) if path.endswith(WORD_BPE) else ChunkEncoder(path)
+    """The worker's encoder, kept from task to task until the worker needs another operator's model."""
+    return kept_by_worker(("encoder", path), lambda: WordEncoder(path) if path.endswith(WORD_BPE) else ChunkEncoder(path))
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

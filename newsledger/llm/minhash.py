@@ -30,7 +30,7 @@ from newsledger.llm import query
 from newsledger.llm.components import components, smallest_linked, tiles, together, whole_groups
 from newsledger.llm.ppm import normal
 from newsledger.llm.quality import MULTIPLIER, SPACES, word_hashes
-from newsledger.llm.shared import documents, stored, texts_of
+from newsledger.llm.shared import documents, release_worker, stored, texts_of
 from newsledger.llm.token_files import slices
 
 K = 48
@@ -71,6 +71,7 @@ def shingle_sets(raws: list[bytes]) -> list[np.ndarray]:
 
 def _sketch(k: int):
     def run(batches):
+        release_worker()
         for batch, texts in slices(batches):
             raws = [normal(t) for t in texts]
             sets = shingle_sets(raws)

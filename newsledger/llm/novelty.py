@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsledger.llm import query
-from newsledger.llm.shared import documents, texts_of
+from newsledger.llm.shared import documents, kept_by_worker, texts_of
 from newsledger.llm.token_files import slices
 
 # The kinds in order, their patterns and least lengths, and the words of code that any dictionary holds.
@@ -122,11 +121,6 @@ class Novelty:
         return (len(self.compress(around + text[start:end].encode())) - len(self.compress(around))) / (end - start)
 
 
-@lru_cache(maxsize=1)
-def _novelty(identifiers: str) -> Novelty:
-    return Novelty(identifiers)
-
-
 def spans(text: str, novelty: Novelty) -> list[dict]:
     """All spans of one text, by start and kind; each with its bytes a character."""
     low = text.lower()
@@ -169,7 +163,7 @@ def find(docs: DataFrame, known: str) -> DataFrame:
 
     def run(batches):
         kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("novelty", pa.float64())]))
-        novelty = _novelty(known)
+        novelty = kept_by_worker(("novelty", known), lambda: Novelty(known))
         for batch, texts in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([spans(t, novelty) for t in texts], kinds)], ["doc_id", "spans"])
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from newsledger.llm import query
 from newsledger.llm.labelled import sample_texts, training_rows
-from newsledger.llm.shared import documents, fold, labels, texts_of
+from newsledger.llm.shared import documents, fold, labels, release_worker, texts_of
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x100000001B3
@@ -88,6 +88,7 @@ def _sample_features(settings: Settings):
     """Rows ``(doc_id, y, text)`` to sparse means: the buckets of a text and their shares."""
 
     def run(batches):
+        release_worker()
         for batch in batches:
             for doc_id, y, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "text"))):
                 buckets, counts = np.unique(features([text], settings)[0], return_counts=True)
@@ -167,7 +168,8 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", parts: int = 5, held_out: int = 0, settings: Settings = Settings()) -> Model:
     """The model learned from the labelled rows of ``docs`` outside fold ``held_out`` of ``parts``."""
     sample, log_odds = training_rows(labels, column, parts, held_out, settings.per_class)
-    table = sample_texts(docs, sample).mapInArrow(_sample_features(settings), "doc_id long, y int, buckets binary, shares binary").toArrow().sort_by("doc_id")
+    table = sample_texts(docs, sample).mapInArrow(_sample_features(settings), "doc_id long, y int, buckets binary, shares binary").toArrow()
+    table = table.sort_by([(c, "ascending") for c in ("doc_id", "y", "buckets", "shares")])
     rows = [
         (y, np.frombuffer(b, "<i4"), np.frombuffer(s, "<f4"))
         for y, b, s in zip(*(table.column(c).to_pylist() for c in ("y", "buckets", "shares")))
@@ -180,6 +182,7 @@ def scorer(model):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        release_worker()
         return pa.array(model.score(["" if t is None else t for t in texts.to_pylist()]), pa.float64())
 
     return score

@@ -41,6 +41,22 @@ def fold(parts: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts, F.lit(0)).cast("int")
 
 
+_kept: dict = {}
+
+
+def kept_by_worker(key: tuple, make):
+    """``make()``, kept for later tasks of this Python worker under ``key``; a worker keeps one such thing, so stages that follow each other do not add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release_worker() -> None:
+    """Drops what this Python worker keeps for other operators."""
+    _kept.clear()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

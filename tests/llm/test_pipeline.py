@@ -31,7 +31,7 @@ def test_stages_against_plain_versions(spark):
 
 def test_every_operator_is_registered():
     load_all()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_near_dedup_leaves_one_row_of_each_group(spark):

@@ -8,9 +8,9 @@ import pytest
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
-from cases import frame, rows  # noqa: E402
+from cases import frame, rows, words  # noqa: E402
 
-from newsledger.llm import bpe, chunks, packing, token_files  # noqa: E402
+from newsledger.llm import bpe, chunks, packing, shared, token_files  # noqa: E402
 from newsledger.llm.shared import shared_path, texts_of  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -116,3 +116,29 @@ def test_shortest_pack_first_takes_the_emptiest_pack():
     assert {(r[0], r[5]) for r in runs if r[0] in (6, 5)} == {(6, 0), (5, 1)}
     assert (3, 1) in {(r[0], r[5]) for r in runs}
     assert sum(r[4] * (r[2] - r[1]) for r in runs) == 15
+
+
+def test_kept_pieces_are_bounded_and_change_no_id():
+    texts = [words(seed, 200) + f" {seed * 7919} x{'y' * 60}{seed} café-{seed % 5}\n" for seed in range(120)]
+    for name in (chunks.BYTE_BPE, chunks.WORD_BPE):
+        small = (chunks.WordEncoder if name == chunks.WORD_BPE else chunks.ChunkEncoder)(chunks.vocabulary(name), 0)
+        small.kept = 150
+        whole, _ = chunks.encoder(chunks.vocabulary(name)).encode(texts)
+        got, most = [], 0
+        for text in texts:
+            ids, _ = small.encode([text])
+            got.append(ids)
+            most = max(most, small.entries)
+            assert len(small.index) == small.entries
+        assert np.concatenate(got).tolist() == whole.tolist() and most < 600
+        assert not any(len(k) > chunks.LONGEST for k in small.index)
+        assert whole.tolist() == [i for t in texts for i in small.tokenizer.encode(t, add_special_tokens=False).ids]
+
+
+def test_a_worker_keeps_one_model():
+    first = chunks.encoder(chunks.vocabulary(chunks.BYTE_BPE))
+    assert chunks.encoder(chunks.vocabulary(chunks.BYTE_BPE)) is first
+    chunks.encoder(chunks.vocabulary(chunks.WORD_BPE))
+    assert len(shared._kept) == 1 and chunks.encoder(chunks.vocabulary(chunks.BYTE_BPE)) is not first
+    shared.release_worker()
+    assert not shared._kept

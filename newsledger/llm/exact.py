@@ -79,7 +79,8 @@ def find(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
         named = pairs.join(numbered(pairs.select("a", "b").distinct()), ["a", "b"]).select("row", "n", "pos", "name")
         done = done.unionByName(named.filter("n = 1").select("row", F.lit(level).alias("level"), "name"))
     identified = stored(rows.select("row", "doc_id", "text_sha256").join(done, "row"), "identities")
-    groups = identified.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+    # A table of its own: the join may then split the rows of a text with many copies.
+    groups = stored(identified.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size")), "copy-groups")
     return identified.join(groups, ["level", "name"]).select(
         "doc_id", row_key(F.col("doc_id"), F.col("text_sha256")).alias("row_key"), F.col("keep.doc_id").alias("keep_id"),
         "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256",

@@ -16,7 +16,9 @@ from __future__ import annotations
 import hashlib
 import html as references
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,13 @@ NEVER_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription comment comments disqus respond reply replies "
     "share sharing social related recommended footer widget toolbar pagination pager login signup skip".split()
 )
+# Words that say only where or what kind of box an element is: with them a name of NEVER_NAMES is still one.
+BOX_NAMES = frozenset(
+    "area article author banner bar block body bottom box button buttons card cards container content count form header icons inner item items left link links list main outer page panel post posts "
+    "primary right secondary section site small sticky text this thread top wrap wrapper articles stories".split()
+)
+# Articles beside the longest one count from this share of its text on; those inside a main element from half of the main's text on.
+SIBLING_SHARE, MAIN_SHARE = 3, 2
 # Subtrees whose articles a task remembers at a time.
 HELD = 200_000
 # What ends an open element of the same list when it starts.
@@ -131,18 +140,67 @@ def _names(element: Element) -> tuple[set[str], str, bool]:
     return names, role, hidden
 
 
+def named_away(element: Element) -> bool:
+    """Whether a whole class or id says that the element is no article text: a name of ``NEVER_NAMES``, alone or with words for boxes.
+
+    Words inside longer names do not count (``has-sidebar``, ``social-policy``), nor does the id of running text.
+    """
+    for match in _CLASSES.finditer(element.attributes) if element.attributes.strip(" /\n\t") else ():
+        key = match[1].lower()
+        if key in ("class", "id", "itemprop") and not (key == "id" and element.tag in RUNNING):
+            for token in (match[2] or match[3] or match[4] or "").lower().split():
+                parts = set(_NAME.findall(token))
+                if parts & NEVER_NAMES and parts <= NEVER_NAMES | BOX_NAMES:
+                    return True
+    return False
+
+
+def _text_sizes(page: Page):
+    """A function from an element to the number of characters of its text."""
+    runs = [run for run in page.runs if run is not None]
+    starts = [run[0] for run in runs]
+    sums = list(accumulate((len(page.html[a:b].strip()) for a, b, _ in runs), initial=0))
+    return lambda index: sums[bisect_left(starts, page.elements[index].end)] - sums[bisect_left(starts, page.elements[index].start)]
+
+
+def holders(page: Page) -> list[int]:
+    """The elements that hold the article, none for the whole page.
+
+    One element, or the ``article`` elements side by side that have text of about the same size; a ``main`` of which they are a small part
+    holds the article itself.
+    """
+    best = article(page)
+    if best < 0 or page.elements[best].tag != "article":
+        return [best] * (best >= 0)
+    # What lies in an article, or in an element that never belongs to one, is no article beside others.
+    closed, found = [False] * len(page.elements), []
+    for i, element in enumerate(page.elements):
+        up = element.parent
+        closed[i] = up >= 0 and (closed[up] or page.elements[up].tag == "article") or element.tag in NEVER or named_away(element)
+        if element.tag == "article" and not closed[i]:
+            found.append(i)
+    size = _text_sizes(page)
+    found = [i for i in found if SIBLING_SHARE * size(i) >= size(best)] if best in found else [best]
+    up = page.elements[best].parent
+    while up >= 0:
+        if page.elements[up].tag == "main" and sum(map(size, found)) * MAIN_SHARE < size(up):
+            return [up]
+        up = page.elements[up].parent
+    return found
+
+
 def article(page: Page) -> int:
-    """The element that holds the article, -1 for the whole page."""
+    """The element that looks most like the article, -1 for none."""
     best, rank = -1, 0
     for index, element in enumerate(page.elements):
         names, role, _ = _names(element)
-        if element.tag == "article" and not names & NEVER_NAMES:
+        if element.tag == "article" and not named_away(element):
             own = 5
         elif element.tag == "main" or role == "main":
             own = 4
         elif "articlebody" in names:
             own = 3
-        elif element.tag in ("div", "section", "td") and names & {"article", "post", "entry", "story", "content"} and not names & NEVER_NAMES:
+        elif element.tag in ("div", "section", "td") and names & {"article", "post", "entry", "story", "content"} and not named_away(element):
             own = 2
         elif element.tag == "body":
             own = 1
@@ -154,12 +212,18 @@ def article(page: Page) -> int:
     return best
 
 
-def candidates(page: Page, main: int) -> list[int]:
-    """Elements that may belong to the site's template: no running text, and not around the article."""
+def _around(page: Page, mains: list[int]) -> set[int]:
     around = set()
-    while main >= 0:
-        around.add(main)
-        main = page.elements[main].parent
+    for index in mains:
+        while index >= 0:
+            around.add(index)
+            index = page.elements[index].parent
+    return around
+
+
+def candidates(page: Page, mains: list[int]) -> list[int]:
+    """Elements that may belong to the site's template: no running text, and not around the article."""
+    around = _around(page, mains)
     return [i for i, e in enumerate(page.elements) if e.tag in BLOCKS and e.tag not in RUNNING and e.tag not in ("html", "head", "body") and i not in around]
 
 
@@ -175,26 +239,23 @@ def subtree_hash(page: Page, index: int) -> int:
 def main_text(html: str, template: set[int]) -> str:
     """The article's text without subtrees whose hash is in ``template`` and elements that never belong to it."""
     page = parse(html)
-    main = article(page)
-    return _kept_text(page, main, {i for i in candidates(page, main) if template and subtree_hash(page, i) in template})
+    mains = holders(page)
+    return _kept_text(page, mains, {i for i in candidates(page, mains) if template and subtree_hash(page, i) in template})
 
 
-def _kept_text(page: Page, main: int, gone: set[int]) -> str:
-    around, index = set(), main
-    while index >= 0:
-        around.add(index)
-        index = page.elements[index].parent
+def _kept_text(page: Page, mains: list[int], gone: set[int]) -> str:
+    around, held = _around(page, mains), set(mains)
     drop, inside = [False] * len(page.elements), [False] * len(page.elements)
     for i, element in enumerate(page.elements):
         parent = element.parent
-        inside[i] = i == main or parent >= 0 and inside[parent]
+        inside[i] = i in held or parent >= 0 and inside[parent]
         if i in around:
             continue
-        names, role, hidden = _names(element)
+        _, role, hidden = _names(element)
         out_of_place = element.tag == "header" and not inside[i]
         drop[i] = (
             parent >= 0 and drop[parent] or i in gone or element.tag in NEVER or out_of_place
-            or role in NEVER_ROLES or hidden or bool(names & NEVER_NAMES)
+            or role in NEVER_ROLES or hidden or named_away(element)
         )
     blocks, words = [], []
     for run in [*page.runs, None]:
@@ -205,7 +266,7 @@ def _kept_text(page: Page, main: int, gone: set[int]) -> str:
             words = []
             continue
         start, end, element = run
-        if main < 0 or element >= 0 and inside[element] and not drop[element]:
+        if not mains or element >= 0 and inside[element] and not drop[element]:
             if element < 0 or not drop[element]:
                 words.append(page.html[start:end] if end > start else " ")
     return "\n".join(blocks)
@@ -219,9 +280,9 @@ def _hashes(least: int):
             rows, articles, counted = [], [], []
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 page = parse(html)
-                main = article(page)
-                text = _hash(_kept_text(page, main, set()))
-                rows.append(sorted({subtree_hash(page, i) for i in candidates(page, main)}))
+                mains = holders(page)
+                text = _hash(_kept_text(page, mains, set()))
+                rows.append(sorted({subtree_hash(page, i) for i in candidates(page, mains)}))
                 articles.append(text)
                 counted.append([])
                 for subtree in rows[-1]:

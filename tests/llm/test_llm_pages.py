@@ -19,6 +19,26 @@ def test_blocks_and_what_is_left_out():
     assert len(templates.main_text("<div>" * 20_000 + "deep", set())) == 4
 
 
+def test_no_article_is_lost_by_a_name():
+    story = "<p>Whole story of some length</p>"
+    text = "Whole story of some length"
+    for page, want in (
+        (f'<article class="post has-sidebar">{story}</article>', text),
+        (f'<article class="hentry category-social">{story}</article>', text),
+        (f'<article><section class="social-policy">{story}</section></article>', text),
+        (f'<article><section class="comment-period-rules">{story}</section></article>', text),
+        (f'<article><p id="related">{text}</p></article>', text),
+        (f'<article><div class="story-login-law">{story}</div></article>', text),
+        (f"<main>{story * 3}<article><p>teaser</p></article>{story * 3}</main>", "\n".join([text] * 3 + ["teaser"] + [text] * 3)),
+        (f"<body><article>{story * 2}</article><article>{story}</article></body>", "\n".join([text] * 3)),
+        # What the names are for still goes, and short teasers beside the article.
+        (f'<article>{story}<div class="comment-list"><p>bad</p></div><div class="related-posts">x</div><p class="advert">x</p></article>', text),
+        (f'<article>{story * 9}</article><article class="card"><p>teaser</p></article><aside><article>{story * 9}</article></aside>', "\n".join([text] * 9)),
+        (f'<article>{story}</article><section id="comments"><article class="comment">{story * 4}</article></section>', text),
+    ):
+        assert templates.main_text(page, set()) == want, page
+
+
 def test_recurring_subtrees_go_where_nothing_names_them(spark):
     def page(k, host):
         return f"<body><div class=x1><p>Welcome to {host}</p></div><div class=x2><p>Story {k} of {host}</p><div class=y>Read more at {host}</div></div></body>"

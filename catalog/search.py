@@ -4,6 +4,7 @@ from catalog import register
 from catalog.identity import _sources_as_roles, restricted_items
 from catalog.tables import ITEMS_SQL, documents_as_items, read
 from newsledger.operators import search
+from newsledger.operators.cells import VectorCells
 from newsledger.plans import gap
 
 _SHOWN = "title, summary, CAST(importance AS INTEGER) AS importance, category, published_epoch, url"
@@ -94,6 +95,16 @@ def vector_topk_grid(spark, sf):
     return search.vector_topk(left, right, 3, max_values=8192)
 
 
+@register(
+    "vector_topk_cells",
+    f"WITH {TOPK_SQL} SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, similarity FROM hits",
+)
+def vector_topk_cells(spark, sf):
+    """The same through cells, of which those are skipped that cannot hold a result."""
+    vectors = _vectors(spark, sf)
+    return VectorCells(vectors.withColumnRenamed("vec_id", "doc_id")).topk(vectors.withColumnRenamed("vec_id", "query_id"), 3)
+
+
 @register(
     "gap_context",
     f"""WITH {TOPK_SQL}, t AS (SELECT query_id, string_agg(coalesce(text, ''), chr(10) ORDER BY rank) AS context

@@ -1,3 +1,7 @@
+import functools
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import register
@@ -6,6 +10,8 @@ from catalog.tables import ITEMS_SQL, documents_as_items, read
 from newsledger.operators import search
 from newsledger.operators.cells import VectorCells
 from newsledger.plans import gap
+from newsledger.session import shared_folder
+from newsledger.sources.title_index import TitleIndex
 
 _SHOWN = "title, summary, CAST(importance AS INTEGER) AS importance, category, published_epoch, url"
 
@@ -39,6 +45,23 @@ def title_ilike(spark, sf):
     return wanted.unionByName(accented)
 
 
+@register(
+    "title_indexed",
+    f"""WITH {ITEMS_SQL}, q(query) AS (VALUES ('der'), ('TH_R%E'), ('o%\\_'), ('ÉT'), ('e'), ('no such title'))
+    SELECT query, dedup_key, title FROM items JOIN q ON title ILIKE '%' || query || '%' ESCAPE '\\'""",
+)
+def title_indexed(spark, sf):
+    """Keyword queries through a bigram index of the titles, built here for all items."""
+    every = documents_as_items(spark, sf).select("dedup_key", "title")
+    index = TitleIndex(spark, f"{shared_folder(spark)}/titles-{uuid.uuid4().hex}")
+    index.add(every)
+    found = [
+        search.title_ilike(every, query, index).select(F.lit(query).alias("query"), "dedup_key", "title")
+        for query in ("der", "TH_R%E", "o%\\_", "ÉT", "e", "no such title")
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @register(
     "topk_recent",
     f"""WITH {ITEMS_SQL} SELECT dedup_key, CASE WHEN category <> 'de' THEN published_epoch END AS published_epoch

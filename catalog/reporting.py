@@ -17,6 +17,24 @@ def report_rows(spark, sf):
     )
 
 
+_EVENT_KEYS = ("click", "error", "purchase", "signup", "view")
+
+
+@register(
+    "report_rows_of_objects",
+    "SELECT event_id, " + ", ".join(f"CASE WHEN event_type = '{t}' THEN value END AS {t}" for t in _EVENT_KEYS) + """,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+    CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS who FROM events""",
+)
+def report_rows_of_objects(spark, sf):
+    """The events' JSON properties, each with its value under a key of its type, as one table."""
+    who = F.when(F.col("event_id") % 2 == 0, F.col("user_id").cast("string")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    text = F.concat(F.rtrim(F.col("props"), F.lit("} ")), F.lit(', "'), "event_type", F.lit('": '), F.col("value").cast("string"), F.lit(', "who": '), who, F.lit("}"))
+    rows = read(spark, sf, "events").select("event_id", F.parse_json(text).alias("row"))
+    found = reports.rows_of_objects(rows, "row", keep=("event_id",))
+    return found.withColumns({c: F.col(c).cast("double") for c in _EVENT_KEYS if c in found.columns})
+
+
 _PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
 
 

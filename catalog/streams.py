@@ -8,6 +8,7 @@ from catalog.extraction import ENTRIES_SQL, RUN_ID, page_entries
 from catalog.tables import ITEMS_SQL, documents_as_items, read
 from newsledger import schema as S
 from newsledger.operators.items import to_items
+from newsledger.operators.quality import ContractCounts
 from newsledger.plans.store import write_items
 from newsledger.session import materialize, shared_folder
 from newsledger.sources.item_table import ItemTable
@@ -167,3 +168,19 @@ def batch_job(spark, sf):
     table = ItemTable(spark, f"{new_folder(spark)}/items")
     write_items(table, to_items(page_entries(spark, sf), RUN_ID), analyst, letter_counter)
     return shown(table.read())
+
+
+@register(
+    "contract_on_write",
+    f"""WITH {ITEMS_SQL}, {MASKED_SQL}, n AS (SELECT count(*) AS n_rows, 0 AS key_unique,
+      count(*) FILTER (length(body) < 300) AS body_long, count(*) FILTER (length(summary) < 300) AS summary_long,
+      count(*) FILTER (n_nonzero = 0) AS vector_usable,
+      count(*) FILTER (NOT ({sql_pii.is_safe("body")}) OR NOT ({sql_pii.is_safe("summary")})) AS pii_free FROM answered_vectors)
+    SELECT rule, n_rows, CAST(n_failed AS BIGINT) AS n_failed FROM n UNPIVOT (n_failed FOR rule IN
+      (key_unique, body_long, summary_long, vector_usable, pii_free))""",
+)
+def contract_on_write(spark, sf):
+    """All documents through the masking batch job, the contract counted by the job that writes them."""
+    table, counts = ItemTable(spark, f"{new_folder(spark)}/items"), ContractCounts()
+    write_items(table, documents_as_items(spark, sf), analyst, letter_counter, policy="mask", counts=counts)
+    return counts.rows(spark)

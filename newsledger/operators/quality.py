@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsledger import schema as S
@@ -54,8 +54,38 @@ def contract_check(items: DataFrame, key: str = "dedup_key", **options) -> DataF
         unique.alias("key_unique"),
         *[F.sum(n).alias(n) for n in rules],
     )
+    return _per_rule(totals, rules)
+
+
+def _per_rule(totals: DataFrame, rules) -> DataFrame:
     names = ["key_unique", *rules]
     pairs = F.array(
         *[F.struct(F.lit(n).alias("rule"), F.coalesce(F.col(n), F.lit(0)).alias("n_failed")) for n in names]
     )
     return totals.select("n_rows", F.inline(pairs)).select("rule", "n_rows", "n_failed")
+
+
+class ContractCounts:
+    """Counts ``contract_check`` while rows are written, so that nothing is read again.
+
+    ``watch`` marks the rows of one write; ``rows`` gives the totals of all writes once they are done. Put right above the
+    write, after its shuffle, the counts are those of result tasks: a task that runs again counts once. The writer stores one row per key, so
+    ``key_unique`` counts null keys alone. Rows that an update rewrites are counted with the rest.
+    """
+
+    def __init__(self, key: str = "dedup_key", **options):
+        self.key, self.options, self.observations = key, options, []
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        seen = Observation()
+        self.observations.append(seen)
+        failed = {"key_unique": F.col(self.key).isNull()} | {n: ~c for n, c in contract_rules(**self.options).items()}
+        return rows.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(n) for n, c in failed.items()])
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """``(rule, n_rows, n_failed)``; waits for the writes."""
+        rules = list(contract_rules(**self.options))
+        names = ["n_rows", "key_unique", *rules]
+        seen = [[o.get[n] for n in names] for o in self.observations] or [[0] * len(names)]
+        totals = spark.createDataFrame([[sum(column) for column in zip(*seen)]], ", ".join(f"{n} long" for n in names))
+        return _per_rule(totals, rules)

@@ -18,6 +18,28 @@ def report_rows(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def rows_of_objects(rows: DataFrame, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep`` and one column per key of the VARIANT objects in ``column``, in order of the keys; missing ones null.
+
+    The keys and their types are found in one aggregation over all rows (by key, combined map-side). Booleans, numbers, dates and times keep
+    the widest type that a key has; keys with mixed or nested values become text, nested ones as JSON. A null row or one that is no
+    object has null in every column; no object at all gives ``keep`` alone. A name that is taken already, also in other case, gets a number.
+    """
+    fields = F.col(column).try_cast("map<string, variant>")
+    found = rows.select(F.explode(fields).alias("key", "value")).groupBy("key").agg(F.schema_of_variant_agg("value").alias("type"))
+    taken, columns = {c.lower() for c in keep}, []
+    for key, kind in sorted(found.collect()):
+        name, number = key, 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{key}_{number}"
+        taken.add(name.lower())
+        plain = not kind.startswith(("OBJECT", "ARRAY", "VARIANT", "VOID"))
+        value = F.try_element_at(F.col("__fields"), F.lit(key))
+        columns.append(value.cast(kind if plain else "string").alias(name))
+    return rows.select(*keep, fields.alias("__fields")).select(*keep, *columns)
+
+
 def write_report(report: DataFrame, path: str, file_format: str = "csv") -> bool:
     """Writes a new report folder; an empty report writes nothing and gives ``False``."""
     if report.isEmpty():

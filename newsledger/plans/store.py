@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsledger import schema as S
 from newsledger.operators.enrich import Factory
+from newsledger.operators.quality import ContractCounts
 from newsledger.operators.ranking import first_per_group
 from newsledger.operators.stored import having, known_keys, upsert_items
 from newsledger.plans.collect import Source, collect_entries, items_of
@@ -19,9 +20,9 @@ from newsledger.sources.item_table import ERRORS, ItemTable
 
 def write_items(
     table: ItemTable, items: DataFrame, analyse: Factory, vectorise: Factory,
-    keys: DataFrame | None = None, **options,
+    keys: DataFrame | None = None, counts: ContractCounts | None = None, **options,
 ) -> None:
-    """Processes items and writes them by key, one per key.
+    """Processes items and writes them by key, one per key; ``counts`` checks the contract on the rows as they are written.
 
     ``items`` is kept first unless ``keys`` names its keys (then one per key): it is read for its keys and again for the models. Rows with a new
     key are appended with all their columns. A stored row gets the safe columns, and its roles if ``options`` has roles; only the
@@ -36,10 +37,10 @@ def write_items(
     done = process_items(items, analyse, vectorise, keep=clash, **options)
     done = done.withColumn("created_at", F.current_timestamp())
     if not clash:
-        table.append(done)
+        table.append(done, counts)
         return
     update = [*S.SAFE_COLUMNS, *ERRORS, *(("target_roles",) if options.get("roles") is not None else ())]
-    table.merge(done, known, lambda stored, incoming: upsert_items(stored, incoming, update=update))
+    table.merge(done, known, lambda stored, incoming: upsert_items(stored, incoming, update=update), counts)
 
 
 def retry_failed(table: ItemTable, analyse: Factory, vectorise: Factory, **options) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsledger import schema as S
+from newsledger.operators.quality import ContractCounts
 
 # Why a model's answer could not be used; kept next to the row it concerns.
 ERRORS = ("analysis_error", "embedding_error")
@@ -52,22 +53,26 @@ class ItemTable:
         first = self.rows().select("part").first()
         return F.substring(F.lpad(F.hex(F.xxhash64(key)), 16, "0"), 1, len(first.part) if first else self.digits)
 
-    def _write(self, df: DataFrame, part: Column, mode: str) -> None:
+    def _write(self, df: DataFrame, part: Column, mode: str, counts: ContractCounts | None = None) -> None:
         known = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.fields[:-1]]
         rows = df.select(*known).withColumn("part", part).hint("rebalance", F.col("part"))
+        if counts is not None:
+            rows = counts.watch(rows)
         rows.write.options(partitionOverwriteMode="dynamic", **BLOOM).partitionBy("part").mode(mode).parquet(self.path)
 
-    def append(self, df: DataFrame) -> None:
-        """Adds rows whose keys are not stored; no stored file is rewritten."""
-        self._write(df, self.part(), "append")
+    def append(self, df: DataFrame, counts: ContractCounts | None = None) -> None:
+        """Adds rows whose keys are not stored; no stored file is rewritten. ``counts`` checks the rows as they are written."""
+        self._write(df, self.part(), "append", counts)
 
-    def merge(self, incoming: DataFrame, keys: DataFrame, upsert: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    def merge(
+        self, incoming: DataFrame, keys: DataFrame, upsert: Callable[[DataFrame, DataFrame], DataFrame], counts: ContractCounts | None = None
+    ) -> None:
         """Appends ``incoming`` and replaces the partitions that hold ``keys`` by ``upsert(stored rows, incoming rows)`` of theirs.
 
         Run again after a failure it gives the same table: rows appended before are then stored keys.
         """
         part = self.part()
         here = [r.part for r in keys.select(part.alias("part")).distinct().collect()]
-        self._write(incoming.filter(~part.isin(here)), part, "append")
+        self._write(incoming.filter(~part.isin(here)), part, "append", counts)
         stored = self.rows().filter(F.col("part").isin(here)).drop("part")
-        self._write(upsert(stored, incoming.filter(part.isin(here))), part, "overwrite")
+        self._write(upsert(stored, incoming.filter(part.isin(here))), part, "overwrite", counts)

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from newsledger.functions import reports as R
@@ -49,3 +51,17 @@ def test_templates(spark):
     assert got[6] == "N {{ name }} {{name}}None" and got[7:] == ["plain", ""]
     names = spark.createDataFrame([("../../etc/x.xlsx",), ("x",), ("a/",)], "n string")
     assert [r.f for r in names.select(R.template_file(F.col("n")).alias("f")).collect()] == ["x.xlsx", "x", ""]
+
+
+def test_rows_of_objects(spark):
+    texts = ['{"a": 1, "b": "x"}', '{"a": 2.5, "c": {"d": [1]}}', '{"A": true, "b": 7, "day": "2024-01-01"}', None, "[1]", "5", "not json", "{}", '{"k.1 `q` \\"\'": null, "id": 3}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", F.try_parse_json("t").alias("row"))
+    found = reports.rows_of_objects(df, "row", keep=("id",))
+    assert found.columns == ["id", "A", "a_2", "b", "c", "day", "id_2", "k.1 `q` \"'"]
+    rows = [tuple(r) for r in found.orderBy("id").collect()]
+    none = (None,) * 7
+    assert rows[0] == (0, None, Decimal("1.0"), "x", None, None, None, None)
+    assert rows[1] == (1, None, Decimal("2.5"), None, '{"d":[1]}', None, None, None)
+    assert rows[2] == (2, True, None, "7", None, "2024-01-01", None, None)
+    assert [r[1:] for r in rows[3:8]] == [none] * 5 and rows[8][6:] == (3, None)
+    assert reports.rows_of_objects(df.limit(0), "row", keep=("id",)).columns == ["id"]

@@ -69,6 +69,11 @@ def shingle_sets(raws: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits that stand for a row's id and whole text."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit("|"), F.coalesce(text, F.lit(""))))
+
+
 def _sketch(k: int):
     def run(batches):
         release_worker()
@@ -188,8 +193,8 @@ def _linked_in_tile(percent: int):
 
 def link(docs: DataFrame, k: int = K, least: float = 0.75) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows with their set size and class, the classes, and the components of the classes that have links."""
-    source = texts_of(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    rows = stored(source.mapInArrow(_sketch(k), "doc_id long, key long, n long, h1 long, h2 long, sketch array<long>"), "sketches")
+    source = texts_of(docs).select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    rows = stored(source.mapInArrow(_sketch(k), "doc_id long, key string, n long, h1 long, h2 long, sketch array<long>"), "sketches")
     classes = rows.filter("n > 0").groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "key")).alias("row"), F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
@@ -256,8 +261,7 @@ def dedup(docs: DataFrame, k: int = K, least: float = 0.75) -> DataFrame:
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("row")
     chosen = rows.filter("component IS NOT NULL").groupBy("component").agg(smallest).select("row.key")
     kept = stored(chosen.unionByName(rows.filter("component IS NULL").select("key")).select(F.col("key").alias("_newsledger_key")), "kept-keys")
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
-    return docs.withColumn("_newsledger_key", key).join(kept, "_newsledger_key", "left_semi").dropDuplicates(["_newsledger_key"]).drop("_newsledger_key")
+    return docs.withColumn("_newsledger_key", row_key(F.col("doc_id"), F.col("text"))).join(kept, "_newsledger_key", "left_semi").dropDuplicates(["_newsledger_key"]).drop("_newsledger_key")
 
 
 @query("op10_minhash", """

@@ -1,6 +1,6 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the mean of learned vectors of its words (and whether each repeats the one before) and of its byte n-grams, hashed to buckets; a softmax layer on top gives
+A document is the mean of learned vectors of its words (and whether each repeats the one before) and of its character n-grams, hashed to buckets; a softmax layer on top gives
 the class. Vectors and layer are trained together in numpy by stochastic gradient descent on a bounded sample of labelled rows
 (``Settings.per_class`` per class, whole texts). As the mean and the layer are linear, each bucket's contribution to the log
 odds is one number when the model is applied, and whole texts are scored by hashing and gathering alone.
@@ -67,20 +67,21 @@ def features(texts: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarr
     words = word_hashes(raw, starts, stops)
     owner = np.searchsorted(ends, starts, side="right")
     # A word and the one before it also give a feature of their shape: the same again, or another.
-    again = np.where(words == np.append(np.uint64(0), words[:-1]), np.uint64(1), np.uint64(2)) if len(words) else words
+    again = np.full(len(words), 2, np.uint64)
+    again[1:][(words[1:] == words[:-1]) & (owner[1:] == owner[:-1])] = 1
     found = [((x * MULTIPLIER) >> shift).astype(np.int32) for x in (words, again)]
     owners = [owner, owner]
-    wide = raw.astype(np.uint64)
-    of_byte = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+    points = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    of_point = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     for n in settings.grams:
-        if len(raw) < n:
+        if len(points) < n:
             continue
-        key = np.full(len(raw) - n + 1, n, np.uint64)
+        key = np.full(len(points) - n + 1, n, np.uint64)
         for k in range(n):
-            key = key << np.uint64(8) | wide[k:len(raw) - n + 1 + k]
-        inside = of_byte[:len(key)] == of_byte[n - 1:]
+            key = key * np.uint64(BASE) + points[k:len(points) - n + 1 + k]
+        inside = of_point[:len(key)] == of_point[n - 1:]
         found.append(((key[inside] * MULTIPLIER) >> shift).astype(np.int32))
-        owners.append(of_byte[:len(key)][inside])
+        owners.append(of_point[:len(key)][inside])
     return np.concatenate(found), np.concatenate(owners)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsledger.operators.ranking import first_per_group
-from newsledger.operators.search import MAX_BROADCAST_VALUES, _k_best, _result, _unit_rows
+from newsledger.operators.search import MAX_BROADCAST_VALUES, MAX_SIMILARITIES, SIMILARITY_DIGITS, _result, _unit_rows
 from newsledger.session import materialize
 
 # Allowances for rounded angles and for similarities rounded to nine digits.
@@ -118,7 +118,20 @@ class VectorCells:
         self.placed = materialize(documents.mapInPandas(place, f"{types}, centre int, ring int, angle double"))
         sizes = self.placed.groupBy("centre", "ring").agg(F.count("*").alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
         self.cells = sizes.orderBy("centre", "ring").collect()
-        self.compared = 0
+        self.slices, self.compared = self._slices(max(1, 8 * max_values // max(1, self.dim))), 0
+
+    def _slices(self, most: int) -> list[tuple[int, int]]:
+        """First slice and number of slices of each cell: neighbouring cells share a slice of at most ``most`` documents, a larger one is dealt into several."""
+        out, current, room = [], -1, 0
+        for cell in self.cells:
+            parts = -(-cell.n // most)
+            if parts > 1 or cell.n > room:
+                out.append((current + 1, parts))
+                current, room = current + parts, 0 if parts > 1 else most - cell.n
+            else:
+                out.append((current, 1))
+                room -= cell.n
+        return out
 
     def topk(self, queries: DataFrame, k: int = 3) -> DataFrame:
         """``(query_id, rank, doc_id, similarity)``: the rows of ``search.vector_topk``.
@@ -135,61 +148,85 @@ class VectorCells:
             return spark.createDataFrame([], f"query_id {queries.schema['query_id'].dataType.simpleString()}, rank int, {schema.split(', ', 1)[1]}")
         bounds = _Bounds(self.centres, self.cells)
 
+        slices = self.slices
+
+        def routes(asked: np.ndarray, cells: list[np.ndarray]) -> pd.DataFrame:
+            ways = []
+            for some in cells:
+                way = {}
+                for c in some.tolist():
+                    for s in range(slices[c][0], sum(slices[c])):
+                        way.setdefault(s, []).append(c)
+                ways.append([{"slice": s, "cells": here} for s, here in way.items()])
+            return pd.DataFrame({"asked": asked, "ways": ways})
+
         def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 if not batch.empty:
-                    yield batch[["asked"]].assign(cells=bounds.first(_unit_rows(batch["vector"]), k))
+                    yield routes(batch["asked"].to_numpy(), bounds.first(_unit_rows(batch["vector"]), k))
 
         def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 if not batch.empty:
-                    found = bounds.rest(_unit_rows(batch["vector"]), k, batch["least"].to_numpy(dtype=float))
-                    yield batch[["asked"]].assign(cells=found)
+                    least = batch["least"].to_numpy(dtype=float)
+                    yield routes(batch["asked"].to_numpy(), bounds.rest(_unit_rows(batch["vector"]), k, least))
 
         order = [F.col("similarity").desc(), F.col("doc_id").asc()]
-        near = self._search(asked, asked.mapInPandas(first, "asked bigint, cells array<int>"), k, schema)
+        routed = "asked bigint, ways array<struct<slice: int, cells: array<int>>>"
+        near = self._search(asked, asked.mapInPandas(first, routed), k, schema)
         near = materialize(first_per_group(near, ["asked"], order, k))
         least = near.groupBy("asked").agg(F.min("similarity").alias("least"))
-        routes = asked.join(least, "asked").mapInPandas(rest, "asked bigint, cells array<int>")
-        found = near.unionByName(self._search(asked, routes, k, schema))
+        more = asked.join(least, "asked").mapInPandas(rest, routed)
+        found = near.unionByName(self._search(asked, more, k, schema))
         ranked = materialize(first_per_group(found, ["asked"], order, k, rank="rank"))
         members = queries.distinct().join(asked, "vector").select("query_id", "asked")
         return members.join(ranked, "asked").select("query_id", "rank", "doc_id", "similarity")
 
     def _search(self, asked: DataFrame, routes: DataFrame, k: int, schema: str) -> DataFrame:
-        """The k best documents per query from each part of the cells on its route.
+        """The k best documents per query from each slice on its route, of the cells there that it needs.
 
-        Both sides of a cell are dealt into parts by hash, so that a task holds about ``max_values`` numbers of queries and eight times as
+        A query goes to a slice once, whichever of its cells it needs. A task holds about ``max_values`` numbers of queries and eight times as
         many of documents, however many lie in one cell.
         """
-        routes = materialize(routes.select("asked", F.explode("cells").alias("cell")))
-        counts = dict(routes.groupBy("cell").count().collect())
-        self.compared += sum(n * self.cells[c].n for c, n in counts.items())
-        spark, dim = asked.sparkSession, self.dim
-        grid = [
-            (c, self.cells[c].centre, self.cells[c].ring, -(-n * dim // self.max_values), -(-self.cells[c].n * dim // (8 * self.max_values)))
-            for c, n in counts.items()
-        ]
-        if not grid:
+        routes = materialize(routes.select("asked", F.inline("ways")))
+        counts = dict(routes.groupBy("slice").count().collect())
+        spark = asked.sparkSession
+        if not counts:
             return spark.createDataFrame([], schema)
-        grid = spark.createDataFrame(grid, "cell int, centre int, ring int, blocks int, slices int")
+        blocks = spark.createDataFrame([(s, -(-n * self.dim // self.max_values)) for s, n in counts.items()], "slice int, blocks int")
+        dealt = spark.createDataFrame([(c.centre, c.ring, i, *self.slices[i]) for i, c in enumerate(self.cells)], "centre int, ring int, cell int, first int, parts int")
 
-        def part(of: str, parts: str) -> Column:
-            return F.pmod(F.xxhash64(of), F.col(parts)).cast("int")
-
-        def every(parts: str) -> Column:
-            return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-
-        left = routes.join(grid.drop("centre", "ring"), "cell").join(asked, "asked")
-        left = left.withColumn("block", part("asked", "blocks")).withColumn("slice", every("slices")).select("cell", "block", "slice", "asked", "vector")
-        right = self.placed.join(grid, ["centre", "ring"]).withColumn("slice", part("doc_id", "slices"))
-        right = right.withColumn("block", every("blocks")).select("cell", "block", "slice", "doc_id", "vector")
+        left = routes.join(blocks, "slice").join(asked, "asked").withColumn("block", F.pmod(F.xxhash64("asked"), F.col("blocks")).cast("int"))
+        right = self.placed.join(dealt, ["centre", "ring"]).withColumn("slice", F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+        right = right.join(blocks, "slice").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
         def compare(some: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
             if some.empty or stored.empty:
-                return pd.DataFrame({"asked": [], "doc_id": [], "similarity": []})
-            best = _k_best(_unit_rows(some["vector"]), stored["doc_id"].to_numpy(dtype=object), _unit_rows(stored["vector"]), k)
-            return _result(list(some["asked"]), best).rename(columns={"query_id": "asked"})
-
-        keys = ("cell", "block", "slice")
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, schema)
+                return pd.DataFrame({"asked": [], "doc_id": [], "similarity": [], "compared": []})
+            stored = stored.sort_values("cell", kind="stable")
+            present, starts = np.unique(stored["cell"].to_numpy(), return_index=True)
+            borders = np.append(starts, len(stored))
+            docs, ids = _unit_rows(stored["vector"]), stored["doc_id"].to_numpy(dtype=object)
+            unit, needs = _unit_rows(some["vector"]), some["cells"].to_list()
+            best, compared, step = [], [], max(1, MAX_SIMILARITIES // len(docs))
+            for start in range(0, len(unit), step):
+                part = unit[start:start + step]
+                wanted = np.stack([np.isin(present, need) for need in needs[start:start + step]])
+                sims = np.full((len(part), len(docs)), -np.inf)
+                for i, (a, b) in enumerate(zip(borders[:-1], borders[1:])):
+                    rows = np.flatnonzero(wanted[:, i])
+                    if len(rows):
+                        sims[rows, a:b] = np.round(part[rows] @ docs[a:b].T, SIMILARITY_DIGITS) + 0.0
+                kth = np.partition(sims, -k, axis=1)[:, -k] if len(docs) > k else np.full(len(part), -np.inf)
+                for row, bar, n in zip(sims, kth, wanted @ np.diff(borders)):
+                    keep = np.flatnonzero((row >= bar) & (row > -np.inf))
+                    keep = np.array(sorted(keep, key=lambda i: (-row[i], ids[i]))[:k], dtype=int)
+                    best.append((row[keep], ids[keep]))
+                    compared += [n] + [0] * (len(keep) - 1) if len(keep) else []
+            return _result(list(some["asked"]), best).rename(columns={"query_id": "asked"}).assign(compared=compared)
+
+        keys = ("slice", "block")
+        left, right = left.select(*keys, "asked", "cells", "vector"), right.select(*keys, "cell", "doc_id", "vector")
+        found = materialize(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, f"{schema}, compared bigint"))
+        self.compared += found.agg(F.coalesce(F.sum("compared"), F.lit(0))).first()[0]
+        return found.drop("compared")

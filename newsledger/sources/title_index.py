@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsledger.functions.text import let
 from newsledger.session import materialize
 
 MOST_GRAMS = 8
@@ -19,10 +20,11 @@ MOST_GRAMS = 8
 
 def bigrams(text: Column) -> Column:
     """The distinct pairs of neighbouring characters of ``text`` in lower case; none for null or shorter texts."""
-    letters = F.split(F.lower(text), "")
-    pairs = F.transform(
-        F.slice(letters, 1, F.greatest(F.size(letters) - 1, F.lit(0))), lambda c, i: F.concat(c, F.get(letters, i + 1))
-    )
+    def paired(letters: Column) -> Column:
+        first = F.slice(letters, 1, F.greatest(F.size(letters) - 1, F.lit(0)))
+        return F.transform(first, lambda c, i: F.concat(c, F.get(letters, i + 1)))
+
+    pairs = let(F.split(F.lower(text), ""), paired)  # split once, not once per character
     return F.coalesce(F.array_distinct(pairs), F.array().cast("array<string>"))
 
 

@@ -15,12 +15,10 @@ def constant_vector(dim: int = S.EMBEDDING_DIM) -> Column:
 
 def is_usable(vector: Column, dim: int = S.EMBEDDING_DIM) -> Column:
     """Right size, no null, NaN or infinite element, not all zero."""
-    bad = F.exists(
-        vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")).cast("float"))
-    )
-    return F.coalesce(
-        (F.size(vector) == dim) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False)
-    )
+    # Least and greatest element instead of a function per element: NaN counts as greatest, a search gives null where elements are null.
+    least, most, inf = F.array_min(vector), F.array_max(vector), F.lit(float("inf")).cast("float")
+    finite = ~F.coalesce(F.array_contains(vector, inf), F.lit(True)) & (least > -inf) & (most < inf)
+    return F.coalesce((F.size(vector) == dim) & finite & ((least != 0) | (most != 0)), F.lit(False))
 
 
 def safe_vector(vector: Column, dim: int = S.EMBEDDING_DIM) -> Column:

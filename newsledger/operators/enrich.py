@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,16 +23,46 @@ BatchFunction = Callable[[list[str]], list]
 Factory = Callable[[], BatchFunction]
 
 
+# Most rows handed back at once: what a task holds beside Spark's batch does not depend on that batch's length.
+MAX_ROWS = 256
+
+
+def _numbers(answer) -> np.ndarray | None:
+    """A flat list of numbers as an array, None for anything else; lists of plain numbers are not looked at one by one."""
+    if isinstance(answer, np.ndarray) and answer.ndim == 1 and answer.dtype.kind in "fiu":
+        return answer.astype(np.float64)
+    if not isinstance(answer, np.ndarray) and set(map(type, answer)) <= {float, int}:
+        return np.array(answer, dtype=np.float64)
+    if all(isinstance(v, (int, float, np.number)) and not isinstance(v, bool) for v in answer):
+        return np.array([float(v) for v in answer], dtype=np.float64)
+    return None
+
+
 def _checked(answer, vectors: bool) -> tuple:
-    """(answer, error): the answer as text, or as a flat list of floats; anything else is an error of its row."""
+    """(answer, error): the answer as text, or as a flat array of floats; anything else is an error of its row."""
     if answer is None or not vectors and isinstance(answer, str):
         return answer, None
     if vectors and isinstance(answer, (list, tuple, np.ndarray)):
-        if all(isinstance(v, (int, float, np.number)) and not isinstance(v, bool) for v in answer):
-            return [float(v) for v in answer], None
+        numbers = _numbers(answer)
+        if numbers is not None:
+            return numbers, None
     return None, f"TypeError: answer is {type(answer).__name__}, not {'a list of numbers' if vectors else 'text'}"
 
 
+def _as_arrow(pairs: list[tuple], number: pa.DataType | None) -> pa.StructArray:
+    """(answer, error) pairs as a struct; ``number`` is the type of a vector's elements, None for texts."""
+    answers, errors = [a for a, _ in pairs], pa.array([e for _, e in pairs], pa.string())
+    if number is None:
+        found = pa.array(answers, pa.string())
+    else:
+        offsets = np.cumsum([0, *[0 if a is None else len(a) for a in answers]])
+        with np.errstate(over="ignore"):
+            values = np.concatenate([np.zeros(0), *[a for a in answers if a is not None]]).astype(number.to_pandas_dtype())
+        absent = pa.array([a is None for a in answers], pa.bool_())
+        found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, number), mask=absent)
+    return pa.StructArray.from_arrays([found, errors], names=["answer", "error"])
+
+
 def _answers(function: BatchFunction, texts: list[str], vectors: bool = False) -> list[tuple]:
     """(answer, error) per text; after a failed batch each text is tried alone."""
     try:
@@ -70,21 +100,27 @@ def call_model(
         found = found.select(F.col("key").alias("__key"), F.col("answer").alias(out), F.col("error").alias(error))
         return keyed.join(found, "__key", "left").select(*df.columns, out, error)
 
-    vectors = answer_type != "string"
+    number = None if answer_type == "string" else pa.float64() if "double" in answer_type else pa.float32()
 
-    @F.pandas_udf(f"answer {answer_type}, error string")
-    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(f"answer {answer_type}, error string")
+    def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         function = None
         for batch in batches:
-            asked = [i for i, t in enumerate(batch) if t is not None]
-            pairs: list[tuple] = [(None, None)] * len(batch)
-            if asked and function is None:
+            asked = np.flatnonzero(batch.is_valid().to_numpy(zero_copy_only=False))
+            if len(asked) and function is None:
                 function = factory()
+            pairs: list[tuple] = []
+            done = 0  # rows handed back
             for start in range(0, len(asked), batch_size):
                 chunk = asked[start : start + batch_size]
-                for i, pair in zip(chunk, _answers(function, [batch.iloc[i] for i in chunk], vectors)):
-                    pairs[i] = pair
-            yield pd.DataFrame(pairs, columns=["answer", "error"])
+                for i, pair in zip(chunk.tolist(), _answers(function, batch.take(pa.array(chunk)).to_pylist(), number is not None)):
+                    pairs += [(None, None)] * (i - done - len(pairs))
+                    pairs.append(pair)
+                if len(pairs) >= MAX_ROWS:
+                    yield _as_arrow(pairs, number)
+                    done, pairs = done + len(pairs), []
+            pairs += [(None, None)] * (len(batch) - done - len(pairs))
+            yield _as_arrow(pairs, number)
 
     if partitions:
         df = df.repartition(partitions)

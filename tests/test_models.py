@@ -1,11 +1,12 @@
 import json
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from newsledger.functions import analysis as A
-from newsledger.functions.vectors import safe_vector
+from newsledger.functions.vectors import is_usable, safe_vector
 from newsledger.operators.enrich import attach_analysis, call_model, embed, enrich
 from newsledger.operators.quality import contract_check
 from newsledger.operators.search import vector_topk
@@ -207,3 +208,43 @@ def test_contract(spark):
     got = {r.rule: r.n_failed for r in contract_check(df, dim=2).collect()}
     assert got == {"key_unique": 3, "body_long": 2, "summary_long": 2, "vector_usable": 3, "pii_free": 1}
     assert {r.n_failed for r in contract_check(df.limit(0), dim=2).collect()} == {0}
+
+
+def _resident_mb() -> float:
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 2**20
+
+
+def growing():
+    """Vectors of many different numbers, the first of which is the worker's growth in MB since its first call."""
+    before = []
+
+    def vectors(texts):
+        before.append(_resident_mb())
+        return [[before[-1] - before[0], *np.arange(1.0, 768.0).tolist()] for _ in texts]
+
+    return vectors
+
+
+def test_answers_do_not_pile_up_in_a_task(spark):
+    """One Arrow batch of many rows: answers go back to Spark as they come, nulls between them keep their place."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20000")
+    try:
+        texts = spark.range(20000, numPartitions=1).select("id", F.when(F.col("id") % 5 != 0, F.col("id").cast("string")).alias("t"))
+        done = call_model(texts, "t", growing, "v", "e", "array<float>")
+        wrong = (F.col("v").isNull() != (F.col("id") % 5 == 0)) | F.col("e").isNotNull() | (F.element_at("v", -1) != 767.0)
+        got = done.agg(F.count("*").alias("n"), F.count_if(wrong).alias("wrong"), F.max(F.col("v")[0]).alias("mb")).first()
+    finally:
+        spark.conf.set(key, before)
+    assert (got.n, got.wrong) == (20000, 0) and got.mb < 120
+
+
+def test_usable_vectors_by_their_elements(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = [([1.0, 0.0], True), ([0.0, -0.0], False), ([1.0, nan], False), ([inf, 1.0], False), ([-inf, 1.0], False), ([1.0, None], False),
+             ([None, None], False), ([-1.0, -2.0], True), ([0.0, -3e38], True), ([1.0], False), ([], False), (None, False)]
+    frame = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "i int, v array<float>")
+    got = frame.select("i", is_usable(F.col("v"), 2).alias("ok")).orderBy("i").collect()
+    assert [r.ok for r in got] == [ok for _, ok in cases]

@@ -1,5 +1,6 @@
 from urllib.parse import urlparse
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from newsledger.functions.text import WHITESPACE
 from newsledger.functions.urls import absolutize, host_of, is_allowed
 from newsledger.operators import items, pages
 from newsledger.plans.collect import Source, collect_items
+from newsledger.sources import html as html_source
 from newsledger.sources.pages import pages_source
 from newsledger.sources.profiles import CENTRAL_BANK, REGULATOR, PageProfile
 from tests.conftest import plan_of
@@ -211,3 +213,12 @@ def test_pages_source_formats(spark, tmp_path):
     df.drop("html").write.parquet(f"{tmp_path}/bad")
     with pytest.raises(ValueError):
         pages_source(spark, f"{tmp_path}/bad")
+
+
+def test_pages_go_back_in_bounded_pieces():
+    """However many pages Spark sends at once, few of them are Python objects at a time."""
+    html = ["<div id='content'><a title='t' href='/a'>x</a> text %d</div>" % i for i in range(1000)] + [None, "x" * 3_000_000, "y" * 3_000_000]
+    pieces = list(html_source._read_pieces(pa.array(html), REGULATOR))
+    assert max(map(len, pieces)) <= 256 and len(pieces) >= 4
+    got = [row for piece in pieces for row in piece.to_pylist()]
+    assert [(r["links"], r["body"], r["parse_error"]) for r in got] == [html_source._read(h, REGULATOR) for h in html]

@@ -105,9 +105,11 @@ def idempotent_skip(spark, sf):
     stored = ingest.decode_records(records).filter(F.col("source") == "purchase").select("url").distinct()
 
     def work(batch, _):
-        ingest.fresh_records(batch, stored).select("url", "title").write.mode("append").parquet(f"{root}/fresh")
+        unseen = ingest.of_new_urls(batch)
+        ingest.fresh_records(unseen, stored).select("url", "title").write.mode("append").parquet(f"{root}/fresh")
 
-    writer = ingest.unseen_records(decoded).writeStream.foreachBatch(work).option("checkpointLocation", f"{root}/checkpoint")
+    unseen = ingest.unseen_records(decoded).writeStream.foreachBatch(ingest.each_batch(work, spark))
+    writer = unseen.option("checkpointLocation", f"{root}/checkpoint")
     ingest.start(writer.trigger(availableNow=True), spark).awaitTermination()
     return spark.read.schema("url string, title string").parquet(f"{root}/fresh")
 

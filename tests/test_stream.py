@@ -238,3 +238,27 @@ def test_the_last_fetch_of_a_page_counts(spark):
     )
     wanted = spark.createDataFrame([("https://www.cbc.gov.tw/tw/a",), ("https://www.cbc.gov.tw/tw/b",)], "url string")
     assert sorted(r.body for r in entry_bodies(wanted, pages, CENTRAL_BANK).collect()) == ["", "two"]
+
+
+def test_seen_urls_are_kept_by_the_engine_and_batches_adapt(spark, tmp_path):
+    """No row passes Python for the state, which gets keys only; what a batch runs adapts as the session's other queries do."""
+    rows = [("s", json.dumps({"title": f"t{n}", "url": "hot" if n % 2 else f"u{n}", "body": "b"}), None) for n in range(40)] + [("s", "broken", None)] * 3
+    spark.createDataFrame(rows, S.STREAM_RECORD).coalesce(1).write.json(f"{tmp_path}/records")
+    seen = []
+
+    def work(batch, _):
+        fresh = ingest.of_new_urls(batch)
+        seen.append((batch.sparkSession.conf.get("spark.sql.adaptive.enabled"), batch.filter("decode_error is not null").count(), fresh.count()))
+        none = batch.sparkSession.createDataFrame([], "url string")
+        ingest.fresh_records(fresh, none).select("url", "title").write.mode("append").parquet(f"{tmp_path}/fresh")
+
+    decoded = ingest.decode_records(ingest.read_records(spark, f"{tmp_path}/records"))
+    unseen = ingest.unseen_records(decoded)
+    writer = unseen.writeStream.foreachBatch(ingest.each_batch(work, spark)).option("checkpointLocation", f"{tmp_path}/checkpoint")
+    query = ingest.start(writer.trigger(availableNow=True), spark)
+    query.awaitTermination()
+    assert seen == [("true", 3, 40)]
+    plan = query._jsq.explainInternal(True)
+    assert "DeduplicateWithinWatermark" in plan and "TransformWithState" not in plan
+    titles = {r.url: r.title for r in spark.read.parquet(f"{tmp_path}/fresh").collect()}
+    assert len(titles) == 21 and titles["hot"] == "t1"  # the first of its file

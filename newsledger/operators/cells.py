@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsledger.operators.ranking import first_per_group
-from newsledger.operators.search import MAX_BROADCAST_VALUES, MAX_SIMILARITIES, SIMILARITY_DIGITS, _result, _unit_rows
+from newsledger.operators.search import MAX_BROADCAST_VALUES, Nearest, _result, _unit_rows
 from newsledger.session import materialize
 
 # Allowances for rounded angles and for similarities rounded to nine digits.
@@ -208,21 +208,15 @@ class VectorCells:
             borders = np.append(starts, len(stored))
             docs, ids = _unit_rows(stored["vector"]), stored["doc_id"].to_numpy(dtype=object)
             unit, needs = _unit_rows(some["vector"]), some["cells"].to_list()
-            best, compared, step = [], [], max(1, MAX_SIMILARITIES // len(docs))
-            for start in range(0, len(unit), step):
-                part = unit[start:start + step]
-                wanted = np.stack([np.isin(present, need) for need in needs[start:start + step]])
-                sims = np.full((len(part), len(docs)), -np.inf)
-                for i, (a, b) in enumerate(zip(borders[:-1], borders[1:])):
-                    rows = np.flatnonzero(wanted[:, i])
-                    if len(rows):
-                        sims[rows, a:b] = np.round(part[rows] @ docs[a:b].T, SIMILARITY_DIGITS) + 0.0
-                kth = np.partition(sims, -k, axis=1)[:, -k] if len(docs) > k else np.full(len(part), -np.inf)
-                for row, bar, n in zip(sims, kth, wanted @ np.diff(borders)):
-                    keep = np.flatnonzero((row >= bar) & (row > -np.inf))
-                    keep = np.array(sorted(keep, key=lambda i: (-row[i], ids[i]))[:k], dtype=int)
-                    best.append((row[keep], ids[keep]))
-                    compared += [n] + [0] * (len(keep) - 1) if len(keep) else []
+            # Cell by cell, all queries that need it at once; what a query has found so far narrows the next comparison.
+            place, need = np.repeat(np.arange(len(needs)), [len(n) for n in needs]), np.concatenate(needs)
+            nearest, pairs = Nearest(unit, ids, docs, k), np.zeros(len(unit), dtype=np.int64)
+            for cell, start, stop in zip(present.tolist(), borders[:-1].tolist(), borders[1:].tolist()):
+                rows = np.unique(place[need == cell])
+                nearest.compare(rows, start, stop)
+                pairs[rows] += stop - start
+            best = nearest.found()
+            compared = [n for (sims, _), total in zip(best, pairs.tolist()) if len(sims) for n in [total] + [0] * (len(sims) - 1)]
             return _result(list(some["asked"]), best).rename(columns={"query_id": "asked"}).assign(compared=compared)
 
         keys = ("slice", "block")

@@ -20,6 +20,8 @@ QUERY_COLUMNS = ("title", "summary", "importance", "category", "published_at", "
 MAX_BROADCAST_VALUES = 2 * 1024 * 1024
 MAX_SIMILARITIES = 4 * 1024 * 1024
 SIMILARITY_DIGITS = 9
+# Queries compared at once with a slice of documents, and blocks of queries up to which cells of the grid stay as small as they may be.
+ROWS, FEW_BLOCKS = 512, 32
 
 
 def title_ilike(items: DataFrame, query: str | None, index: TitleIndex | None = None) -> DataFrame:
@@ -68,16 +70,64 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _k_best(queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query the (similarities, ids) of its k best documents, best first, ties by id.
+class Nearest:
+    """The k best documents of each query among those compared so far, ties by id; all rows are unit vectors.
 
-    Documents are taken in slices, so that at most ``MAX_SIMILARITIES`` numbers (and k per query) are held at once.
+    A comparison is made in single precision, with an allowance for its error (a sum of ``dim`` rounded products), against the k-th best that a
+    query has; only what may reach that is computed in double precision, rounded and ranked. At most ``MAX_SIMILARITIES`` numbers are held at once.
     """
-    step, best = max(1, MAX_SIMILARITIES // max(1, len(queries))), None
-    for start in range(0, len(docs), step):
-        found = list(_k_best_of_slice(queries, doc_ids[start:start + step], docs[start:start + step], k))
-        best = found if best is None else _merged(best, found, k)
-    return best or []
+
+    def __init__(self, queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int):
+        self.queries, self.doc_ids, self.docs, self.k = queries, doc_ids, docs, k
+        self.narrow_queries, self.narrow_docs = queries.astype(np.float32), docs.astype(np.float32)
+        self.rank = np.empty(len(docs), dtype=np.int64)
+        self.rank[np.argsort(doc_ids, kind="stable")] = np.arange(len(docs))
+        self.slack = (queries.shape[1] + 16) * 2.0**-22
+        self.sims, self.at = np.full((len(queries), k), -np.inf), np.full((len(queries), k), -1)
+
+    def compare(self, asked: np.ndarray, start: int, stop: int) -> None:
+        """Compares the queries at the places ``asked``, each once, with the documents from ``start`` to ``stop``."""
+        step = MAX_SIMILARITIES // ROWS
+        for first in range(0, len(asked), ROWS):
+            some = asked[first:first + ROWS]
+            for low in range(start, stop, step):
+                about = self.narrow_queries[some] @ self.narrow_docs[low:min(stop, low + step)].T
+                bar = self.sims[some, -1] - self.slack
+                new = np.isneginf(bar)
+                if new.any() and about.shape[1] > self.k:
+                    bar[new] = np.partition(about[new], -self.k, axis=1)[:, -self.k] - 2 * self.slack
+                rows, columns = np.nonzero(about >= bar.astype(np.float32)[:, None] - np.float32(1e-7))
+                if len(rows):
+                    self._take(some[rows], columns + low)
+
+    def _take(self, rows: np.ndarray, at: np.ndarray) -> None:
+        sims, step = np.empty(len(rows)), max(1, MAX_SIMILARITIES // max(1, self.docs.shape[1]))
+        for i in range(0, len(rows), step):
+            sims[i:i + step] = np.einsum("ij,ij->i", self.queries[rows[i:i + step]], self.docs[at[i:i + step]])
+        sims = np.round(sims, SIMILARITY_DIGITS) + 0.0
+        touched = np.unique(rows)
+        known_rows, known = np.nonzero(self.at[touched] >= 0)
+        known_rows = touched[known_rows]
+        rows = np.concatenate([rows, known_rows])
+        at, sims = np.concatenate([at, self.at[known_rows, known]]), np.concatenate([sims, self.sims[known_rows, known]])
+        order = np.lexsort((self.rank[at], -sims, rows))
+        rows, at, sims = rows[order], at[order], sims[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = place < self.k
+        self.sims[rows[kept], place[kept]], self.at[rows[kept], place[kept]] = sims[kept], at[kept]
+
+    def found(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the (similarities, ids), best first."""
+        sizes = (self.at >= 0).sum(axis=1)
+        return [(sims[:n], self.doc_ids[at[:n]]) for sims, at, n in zip(self.sims, self.at, sizes)]
+
+
+def _k_best(queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per query the (similarities, ids) of its k best documents, best first, ties by id."""
+    finite = np.isfinite(docs).all(axis=1)
+    nearest = Nearest(queries, doc_ids[finite], docs[finite], k)
+    nearest.compare(np.arange(len(queries)), 0, int(finite.sum()))
+    return nearest.found()
 
 
 def _merged(best: list, found: list, k: int) -> list:
@@ -89,17 +139,6 @@ def _merged(best: list, found: list, k: int) -> list:
     return out
 
 
-def _k_best_of_slice(queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int):
-    sims = np.round(queries @ docs.T, SIMILARITY_DIGITS) + 0.0
-    if sims.shape[1] > k:
-        kth = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
-    else:
-        kth = np.full(len(sims), -np.inf)
-    for row, least in zip(sims, kth):
-        keep = sorted(np.flatnonzero(row >= least), key=lambda i: (-row[i], doc_ids[i]))[:k]
-        yield row[keep], doc_ids[keep]
-
-
 def _result(query_ids: list, best: list) -> pd.DataFrame:
     sizes = [len(sims) for sims, _ in best]
     return pd.DataFrame(
@@ -134,8 +173,8 @@ def _nearest_in_grid(
 ) -> DataFrame:
     """Many queries: query blocks and document slices meet in a grid of cells, cut evenly by hashed ids.
 
-    A cell holds about ``max_values`` numbers of queries, eight times as many of documents and ``MAX_SIMILARITIES`` similarities
-    (16, 128 and 32 MiB by default), and hands on k documents per query.
+    A cell holds at most about ``MAX_BROADCAST_VALUES`` numbers of queries (or ``max_values``, if that is more), eight times as many of documents
+    and ``MAX_SIMILARITIES`` similarities (16, 128 and 16 MiB by default; vectors once more in single precision), and hands on k documents per query.
     """
 
     def numbers(n: int):
@@ -176,13 +215,15 @@ def vector_topk(
     schema = "query_id {}, doc_id {}, similarity double".format(*(t.simpleString() for t in id_types))
     queries, documents = (df.filter(F.size("vector") == dim) for df in (queries, documents))
     blocks = -(-n_queries * dim // max_values)
+    # Small cells copy every document to many blocks: beyond a few blocks they grow, up to the default size.
+    size = max(max_values, min(MAX_BROADCAST_VALUES, -(-n_queries * dim // FEW_BLOCKS)))
     if n_queries == 0:
         found = documents.sparkSession.createDataFrame([], schema)
     elif blocks == 1:
         found = _nearest_per_task(documents, queries, k, schema)
     else:
-        slices = max(1, -(-documents.count() * dim // (8 * max_values)))
-        found = _nearest_in_grid(documents, queries, k, schema, blocks, slices)
+        slices = max(1, -(-documents.count() * dim // (8 * size)))
+        found = _nearest_in_grid(documents, queries, k, schema, -(-n_queries * dim // size), slices)
     order = [F.col("similarity").desc(), F.col("doc_id").asc()]
     return first_per_group(found, ["query_id"], order, k, rank="rank").select(
         "query_id", "rank", "doc_id", "similarity"

@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from newsledger.operators import search
 from newsledger.operators.cells import VectorCells
 from newsledger.operators.search import vector_topk
 
@@ -48,3 +50,26 @@ def test_gaps(spark):
     empty = VectorCells(documents.limit(0))
     assert rows(empty.topk(table(spark, "query_id", [[1, 2]]))) == []
     assert empty.cells == []
+
+
+def test_nearest_equals_full_ranking_with_ties_and_unequal_ids():
+    rng = np.random.default_rng(3)
+    docs = search._unit_rows(list(np.concatenate([rng.integers(-2, 3, (3000, 6)), np.zeros((3, 6)), rng.normal(size=(500, 6)), np.full((2, 6), np.nan)])))
+    queries, ids = search._unit_rows(list(docs[::5][:-1])), rng.permutation(len(docs)).astype(object)
+    got = search._k_best(queries, ids, docs, 4)
+    finite = np.flatnonzero(np.isfinite(docs).all(axis=1))
+    sims = np.round(queries @ docs[finite].T, search.SIMILARITY_DIGITS) + 0.0
+    for row, (found, at) in zip(sims, got):
+        want = np.lexsort((ids[finite].astype(int), -row))[:4]
+        assert np.allclose(found, row[want], atol=2e-9) and list(at) == list(ids[finite][want])
+
+
+def test_small_cells_do_not_copy_documents_to_many_blocks(spark, monkeypatch):
+    asked, grid = [], search._nearest_in_grid
+    monkeypatch.setattr(search, "_nearest_in_grid", lambda *a: asked.append(a[4:]) or grid(*a))
+    vectors = spark.range(300).select("id", F.array(*[(F.col("id") * 7 % (k + 3)).cast("float") for k in range(16)]).alias("vector"))
+    left, right = vectors.withColumnRenamed("id", "query_id"), vectors.withColumnRenamed("id", "doc_id")
+    small = search.vector_topk(left, right, 3, max_values=16)
+    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in search.vector_topk(left, right, 3).collect()}
+    (blocks, slices), = asked
+    assert blocks <= search.FEW_BLOCKS and slices <= search.FEW_BLOCKS

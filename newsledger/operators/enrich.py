@@ -133,16 +133,18 @@ def enrich(df: DataFrame, prompt: str, factory: Factory, **options) -> DataFrame
 
     Where ``prompt`` is null both are null.
     """
-    called = call_model(df, prompt, factory, "__raw", "__failed", **options)
+    # Told before the call, so that a prompt which nobody reads later is not joined to its answer.
+    marked = df.withColumn("__asked", F.col(prompt).isNotNull())
+    called = call_model(marked, prompt, factory, "__raw", "__failed", **options)
     parsed = parse_analysis(F.col("__raw"))
     unreadable = F.when(parsed["is_fallback"], F.lit("answer is not a JSON object"))
-    asked = F.col(prompt).isNotNull()
+    asked = F.col("__asked")
     return called.withColumns(
         {
             "analysis": F.when(asked, parsed),
             "analysis_error": F.when(asked, F.coalesce("__failed", unreadable)),
         }
-    ).drop("__raw", "__failed")
+    ).drop("__raw", "__failed", "__asked")
 
 
 def embed(
@@ -151,10 +153,11 @@ def embed(
 ) -> DataFrame:
     """Adds a vector of ``dim`` floats per non-null text; a failed or unusable one becomes the constant
     vector, with the reason in ``error``."""
-    called = call_model(df, text, factory, "__vector", error, "array<float>", **options)
+    marked = df.withColumn("__asked", F.col(text).isNotNull())
+    called = call_model(marked, text, factory, "__vector", error, "array<float>", **options)
     return called.withColumn(
-        out, F.when(F.col(text).isNotNull(), safe_vector(F.col("__vector"), dim))
-    ).drop("__vector")
+        out, F.when(F.col("__asked"), safe_vector(F.col("__vector"), dim))
+    ).drop("__vector", "__asked")
 
 
 def attach_analysis(items: DataFrame, analysis: str = "analysis", summary_default=None) -> DataFrame:

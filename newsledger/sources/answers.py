@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from newsledger.session import materialize
 
+# So many keys to ask are a filter on the texts.
+FEW_KEYS = 4096
 BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.enabled#key": "true", "parquet.bloom.filter.fpp#key": "0.00001"}
 
 
@@ -35,18 +37,22 @@ class AnswerTable:
             return self.spark.createDataFrame([], schema)
 
     def ask(self, texts: DataFrame, ask: Callable[[DataFrame], DataFrame], answer_type: str) -> DataFrame:
-        """``key``, ``answer``, ``error``, one row per distinct key of ``texts(key, text)``, kept.
+        """``key``, ``answer``, ``error``, one row per distinct key of ``texts(key, text)``, out of the stored answers.
 
-        ``ask`` gets ``(key, text)`` of those without an answer, each once, and adds ``answer`` and ``error``. A key with most of the rows is one row
-        per task before it is shuffled; of the stored answers only keys are read to find what is missing.
+        ``ask`` gets ``(key, text)`` of those without an answer, each once, and adds ``answer`` and ``error``. Which keys these are is found first,
+        among keys alone, and kept: a run with nothing to ask moves no text, one with few to ask filters the texts where they lie. What is asked lies
+        in the table before it is read back, so the answers themselves are moved once and not kept a second time.
         """
         run = str(uuid.uuid4())
         have = self.rows(answer_type).filter("error IS NULL").select("key")
-        missing = texts.join(have, "key", "left_anti").groupBy("key").agg(F.first("text").alias("text"))
-        asked = ask(missing).select("key", "answer", "error", F.lit(run).alias("run"))
-        asked.write.options(**BLOOM).mode("append").parquet(self.path)
+        missing = materialize(texts.select("key").distinct().join(have, "key", "left_anti"))
+        few = [r.key for r in missing.limit(FEW_KEYS + 1).collect()]
+        if few:
+            wanted = texts.filter(F.col("key").isin(few)) if len(few) <= FEW_KEYS else texts.join(missing, "key", "left_semi")
+            asked = ask(wanted.groupBy("key").agg(F.first("text").alias("text")))
+            asked.select("key", "answer", "error", F.lit(run).alias("run")).write.options(**BLOOM).mode("append").parquet(self.path)
         usable = self.rows(answer_type).filter(F.col("error").isNull() | (F.col("run") == run))
         found = usable.join(texts.select("key").distinct(), "key", "left_semi").groupBy("key")
         # An answer before an error, should a key have both.
         first = F.min_by(F.struct("answer", "error"), F.struct(F.col("error").isNotNull(), "run"))
-        return materialize(found.agg(first.alias("found")).select("key", "found.answer", "found.error"))
+        return found.agg(first.alias("found")).select("key", "found.answer", "found.error")

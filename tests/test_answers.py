@@ -68,3 +68,18 @@ def test_vectors_and_the_whole_processing(spark, tmp_path):
         assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert tables["vectors"].rows("array<float>").count() == 2 and tables["answers"].rows().count() == 2
     assert embed(items, "body", vectors, answers=tables["vectors"]).filter(F.col("embedding")[0] != 6).count() == 0
+
+
+def test_nothing_to_ask_asks_nothing(spark, tmp_path):
+    """A run whose texts are all answered does not prepare a single text for the model."""
+    table = AnswerTable(spark, str(tmp_path), "m")
+    texts = spark.createDataFrame([("a", "x"), ("b", "y"), ("a", "x")], "key string, text string")
+
+    def ask(frame):
+        return frame.select("key", F.upper("text").alias("answer"), F.lit(None).cast("string").alias("error"))
+
+    def refuse(frame):
+        raise AssertionError("asked again")
+
+    assert sorted(tuple(r)[:2] for r in table.ask(texts, ask, "string").collect()) == [("a", "X"), ("b", "Y")]
+    assert sorted(tuple(r)[:2] for r in table.ask(texts, refuse, "string").collect()) == [("a", "X"), ("b", "Y")]

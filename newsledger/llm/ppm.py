@@ -29,13 +29,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsledger.llm import query
-from newsledger.llm.shared import documents, fold, stored, texts_of
+from newsledger.llm.shared import documents, fold, kept_by_worker, release_worker, stored, texts_of
 from newsledger.llm.token_files import slices
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 END = 255
 SYMBOLS = 256
 FLUSH = 600_000
+GRAM_ROWS = 200_000
+PART_CHARS = 400_000
 
 
 def normal(text: str) -> bytes:
@@ -56,27 +58,38 @@ def contexts(raws: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    values, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return values, np.bincount(inverse, np.concatenate(counts), len(values)).astype(np.int64)
+    """Distinct keys, sorted, with their counts added up. Empties both lists: the parts are not kept beside the whole."""
+    values, n = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
+    order = np.argsort(values)
+    values, n = values[order], n[order]
+    del order
+    heads = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[heads], np.add.reduceat(n, heads)
 
 
 def _count_grams(order: int):
+    def rows(values, n):
+        for k in range(0, len(values), GRAM_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(values[k:k + GRAM_ROWS].astype(np.int64)), pa.array(n[k:k + GRAM_ROWS])], ["gram", "n"])
+
     def run(batches):
-        keys, counts, held = [], [], 0
-        for _, texts in slices(batches):
+        release_worker()
+        keys, counts, fresh = [], [], 0
+        for _, texts in slices(batches, chars=PART_CHARS):
             values, n = np.unique(contexts([normal(t) for t in texts], order)[0], return_counts=True)
             keys.append(values)
             counts.append(n)
-            held += len(values)
-            if held > 5 * FLUSH:
+            fresh += len(values)
+            if fresh > 2 * FLUSH:
                 values, n = _merged(keys, counts)
-                keys, counts, held = [values], [n], len(values)
-            if held > 3 * FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(n)], ["gram", "n"])
-                keys, counts, held = [], [], 0
+                keys, counts, fresh = [values], [n], 0
+                if len(values) > 3 * FLUSH:
+                    yield from rows(values, n)
+                    keys, counts = [], []
         if keys:
-            values, n = _merged(keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(n)], ["gram", "n"])
+            yield from rows(*_merged(keys, counts))
 
     return run
 
@@ -85,8 +98,9 @@ def _count_words(batches):
     def rows(counter):
         return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counter], pa.string()), pa.array(list(counter.values()), pa.int64())], ["word", "n"])
 
+    release_worker()
     counter: Counter[bytes] = Counter()
-    for _, texts in slices(batches):
+    for _, texts in slices(batches, chars=PART_CHARS):
         for text in texts:
             counter.update(normal(text).split())
         if len(counter) > FLUSH:
@@ -112,7 +126,7 @@ class Table:
     """Integer keys with values, found by hashing: open addresses in arrays."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = np.uint64(max(4, int(4 * len(keys)).bit_length()))
+        self.bits = np.uint64(max(4, int(2 * len(keys)).bit_length()))
         self.slots = np.zeros(1 << int(self.bits), np.uint64)
         self.rows = np.full(1 << int(self.bits), -1, np.int32)
         todo, at = np.arange(len(keys)), self._home(keys)
@@ -186,16 +200,14 @@ def log_probabilities(longest: DataFrame, grams: DataFrame, order: int, least: f
     return stored(seen.unionByName(unseen), "gram-values")
 
 
-_models: dict[str, tuple[Table, np.ndarray, dict[bytes, int], np.ndarray]] = {}
-
-
 def _worker_model(key: str, load) -> tuple[Table, np.ndarray, dict[bytes, int], np.ndarray]:
-    """The worker's model, kept from task to task; a new one takes the place of the last."""
-    if key not in _models:
-        _models.clear()
+    """The worker's model, kept from task to task until the worker needs another one or another operator's."""
+
+    def make():
         grams, values, words, word_counts = load.value
-        _models[key] = Table(grams), np.append(values, 0.0), dict(zip(words, range(len(words)))), np.append(np.log10(word_counts + 1.0), 0.0)
-    return _models[key]
+        return Table(grams), np.append(values, 0.0), dict(zip(words, range(len(words)))), np.append(np.log10(word_counts + 1.0), 0.0)
+
+    return kept_by_worker(("ppm", key), make)
 
 
 SCORED = (
@@ -220,7 +232,7 @@ def _score(key: str, load, order: int):
         grams, values, words, logs = _worker_model(key, load)
         shard, row = TaskContext.get().partitionId(), 0
         kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, chars=PART_CHARS):
             raws = [normal(t) for t in texts]
             keys, sizes = contexts(raws, order)
             borders = np.concatenate([[0], np.cumsum(sizes)])

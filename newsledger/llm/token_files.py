@@ -15,6 +15,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,18 +37,19 @@ LAYOUT = {
 BATCH_CHARS = 1_500_000
 
 
-def slices(batches, column: str = "text"):
-    """Arrow batches cut to a bounded number of characters, with the texts as strings."""
+def slices(batches, column: str = "text", chars: int = BATCH_CHARS):
+    """Arrow batches cut to a bounded number of characters, with the texts as strings; only a cut's texts are strings at a time."""
     for batch in batches:
-        texts = batch.column(column).to_pylist()
         start = size = 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size > BATCH_CHARS:
-                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
+        for i, length in enumerate(pc.utf8_length(batch.column(column)).to_numpy().tolist()):
+            size += length
+            if size > chars:
+                part = batch.slice(start, i + 1 - start)
+                yield part, part.column(column).to_pylist()
                 start, size = i + 1, 0
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        if start < batch.num_rows:
+            part = batch.slice(start)
+            yield part, part.column(column).to_pylist()
 
 
 def encode_rows(path: str, end_id: int):

@@ -1,11 +1,13 @@
 import math
 import random
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 
 sys.path.insert(0, str(Path(__file__).parent))
 from cases import frame  # noqa: E402
@@ -136,3 +138,37 @@ def test_ppm_scores_from_all_grams_whatever_is_cached(spark):
     for settings in ({}, {"cached_grams": 50}):
         rows = {r.doc_id: r.score for r in ppm.score(docs, **settings).collect()}
         assert all(math.isclose(rows[i], s, rel_tol=1e-9) for i, s in enumerate(want))
+
+
+def test_gram_counts_lose_nothing_and_leave_in_pieces(monkeypatch):
+    monkeypatch.setattr(ppm, "FLUSH", 2_000)
+    monkeypatch.setattr(ppm, "PART_CHARS", 3_000, raising=False)
+    monkeypatch.setattr(ppm, "GRAM_ROWS", 500, raising=False)
+    draw = random.Random(8)
+    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz "):
+        texts = ["".join(draw.choices(letters, k=400)) for _ in range(300)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(texts[k:k + 100])], ["text"]) for k in (0, 100, 200)]
+        want = Counter(ppm.contexts([ppm.normal(t) for t in texts], 5)[0].astype(np.int64).tolist())
+        got = Counter()
+        for batch in ppm._count_grams(5)(iter(batches)):
+            assert batch.num_rows <= 500
+            for gram, n in zip(*(c.to_pylist() for c in batch.columns)):
+                got[gram] += n
+        assert got == want
+
+
+def test_scoring_holds_little_besides_the_model(monkeypatch):
+    draw = random.Random(9)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randrange(2, 9))) for _ in range(5000)]
+    texts = [" ".join(draw.choices(words, k=1000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array([False] * 600), pa.array(texts)], ["doc_id", "held_out", "text"])
+    grams = np.unique(ppm.contexts([ppm.normal(texts[0])], 5)[0])
+    model = ppm.Table(grams), np.append(np.full(len(grams), -1.0), 0.0), {}, np.zeros(1)
+    monkeypatch.setattr(ppm, "_worker_model", lambda key, load: model)
+    monkeypatch.setattr(ppm.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in ppm._score("key", None, 5)(iter([batch])))
+        assert rows == 600 and tracemalloc.get_traced_memory()[1] < 90e6
+    finally:
+        tracemalloc.stop()

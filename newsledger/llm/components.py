@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,16 +13,20 @@ from pyspark.sql import functions as F
 from newsledger.llm.shared import stored
 
 
-def _least(pairs: DataFrame, name: str) -> DataFrame:
+LINKS = 20_000
+
+
+def _least(pairs: DataFrame, tasks: int, name: str) -> DataFrame:
     """Each node with the smallest of itself and its neighbours; a table of its own, so that joins with it may be split."""
-    return stored(pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
+    return stored(pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(tasks), name)
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) for all nodes of ``links(a, b)``.
 
     Large-star and small-star steps in turn until nothing changes: each hangs neighbours on the smallest one, so a step
-    moves each link once and long chains shorten geometrically. Every round is a table in the shared folder.
+    moves each link once and long chains shorten geometrically. Every round is a table in the shared folder, written by as
+    many tasks as its links need: the session's shuffle partitions are meant for other tables than what is left of links.
     """
     links = stored(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
@@ -31,15 +36,16 @@ def components(links: DataFrame) -> DataFrame:
         found = links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (found.n, found.x) == state or not found.n:
             break
-        state = (found.n, found.x)
+        state, tasks = (found.n, found.x), math.ceil(found.n / LINKS)
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both, "large-star"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.filter("u <> v").distinct(), "large-links")
-        small = large.join(_least(large, "small-star"), "u")
+        large = both.join(_least(both, tasks, "large-star"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.filter("u <> v").distinct().coalesce(tasks), "large-links")
+        small = large.join(_least(large, tasks, "small-star"), "u")
         pairs = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p"))
-        links = stored(pairs.select("p.u", "p.v").filter("u <> v").distinct(), "small-links")
+        links = stored(pairs.select("p.u", "p.v").filter("u <> v").distinct().coalesce(tasks), "small-links")
     stars = links.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return stored(stars.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    nodes = stars.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return stored(nodes.coalesce(max(math.ceil(found.n / LINKS), 1)), "components")
 
 
 def tiles(rows: DataFrame, keys: list[str], node: str, size: int, name: str) -> DataFrame:

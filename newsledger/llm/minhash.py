@@ -224,17 +224,18 @@ def link(docs: DataFrame, k: int = K, least: float = 0.75) -> tuple[DataFrame, D
     found = verified(stored(stars, "star-pairs"), texts, least)
     joined = components(found.select("a", "b"))
 
-    # Round two: families of several components.
-    smallest = stored(entries.groupBy("value").agg(F.min("class").alias("head")), "value-heads")
-    families = components(entries.join(smallest, "value").select(F.col("head").alias("a"), F.col("class").alias("b")))
-    known = families.withColumnRenamed("component", "family").join(joined, "node", "left")
-    known = stored(known.select(F.col("node").alias("class"), "family", F.coalesce("component", "node").alias("component")), "families")
-    several = known.groupBy("family").agg((F.min("component") < F.max("component")).alias("several")).filter("several").select("family")
-    crowd = tiles(known.join(several, "family").select("family", "class"), ["family"], "class", TILE, "family-sizes").join(texts, "class")
+    # Round two: families of several components. Lists join components, so those of one component are no nodes here.
+    root = F.coalesce("component", "class").alias("root")
+    rooted = stored(used.join(joined.withColumnRenamed("node", "class"), "class", "left").select("class", root, "values.value"), "rooted")
+    met = rooted.select("root", F.explode("value").alias("value"))
+    smallest = stored(met.groupBy("value").agg(F.min("root").alias("head")), "value-heads")
+    families = components(met.join(smallest, "value").select(F.col("head").alias("a"), F.col("root").alias("b")))
+    members = rooted.select("class", F.col("root").alias("node")).join(families.withColumnRenamed("component", "family"), "node")
+    crowd = tiles(stored(members.select("family", "class"), "families"), ["family"], "class", TILE, "family-sizes").join(texts, "class")
     tiled = together(crowd, ["family"]).select("group", "class", "text")
     more = stored(tiled.mapInArrow(_linked_in_tile(round(100 * least)), "a long, b long"), "tile-links")
     if not more.isEmpty():
-        joined = components(found.select("a", "b").unionByName(more))
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     return rows, classes, joined
 
 

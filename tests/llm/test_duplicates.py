@@ -9,6 +9,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from cases import frame, rows, words  # noqa: E402
 
 from newsledger.llm import components, embeddings, exact, minhash  # noqa: E402
+from newsledger.llm.shared import stored  # noqa: E402
 
 
 def roots(nodes, links):
@@ -137,3 +138,32 @@ def test_embeddings(spark):
     assert got[n + 8].component_id == n + 7 and got[n + 7].n_links == 1
     assert got[None].component_id == 3 and not got[None].kept
     assert embeddings.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components, "stored", lambda df, name: made.append((name, stored(df, name))) or made[-1][1])
+    links = [(k, k + 1) for k in range(0, 400) if k % 40] + [(1000, 1000 + k) for k in range(1, 200)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    nodes = sorted({x for link in links for x in link})
+    at = roots(range(len(nodes)), [(nodes.index(a), nodes.index(b)) for a, b in links])
+    assert got == {x: nodes[at[k]] for k, x in enumerate(nodes)}
+    assert all(len(df.inputFiles()) <= 1 for name, df in made if name != "links")
+
+
+def test_minhash_keeps_families_of_one_component_out_of_round_two(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(minhash, "stored", lambda df, name: made.setdefault(name, stored(df, name)))
+    seen = []
+    monkeypatch.setattr(minhash, "components", lambda links: seen.append(links.filter("a <> b").count()) or components.components(links))
+    base = words(80, 200).split()
+    texts = [" ".join(base[:k] + [f"other{k}"] + base[k + 1:]) for k in range(0, 200, 5)]
+    docs = frame(spark, list(enumerate(texts)))
+    assert {r.component_id for r in minhash.find(docs).collect()} == {0}
+    assert seen[0] > 0 and seen[1:] == [0] and made["families"].count() == 0

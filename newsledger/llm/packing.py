@@ -12,6 +12,7 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
@@ -30,6 +31,7 @@ ENCODED = (
     "doc_id long, shard int, row long, n_tokens long, crcs array<long>, full_rank long, rest int, rest_rank long, rest_ids binary"
 )
 PLACED = "doc_id long, shard int, row long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SHARDS_A_TASK = 16
 # length, ranks from and to, part of the piece, first sequence, place in it
 Run = tuple[int, int, int, int, int, int, int]
 
@@ -137,55 +139,49 @@ def _place(placement: Placement):
         for batch in batches:
             lengths, ranks = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             piece, found = placement.find(lengths, ranks)
-            rows = batch.take(pa.array(piece))
-            whole = found[:, 1] == lengths[piece]
-            crc = pa.array(rows.column("crc").to_numpy(), mask=~whole)
+            rows, cut_ids = batch.drop_columns(["cut_ids"]).take(pa.array(piece)), batch.column("cut_ids")
+            crc = rows.column("crc").to_numpy().copy()
+            for k in np.flatnonzero(found[:, 1] != lengths[piece]).tolist():
+                a, n = found[k, :2].tolist()
+                crc[k] = zlib.crc32(cut_ids[int(piece[k])].as_buffer()[4 * a:4 * (a + n)])
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), rows.column("shard"), rows.column("row"), pa.array(rows.column("begin").to_numpy() + found[:, 0]),
-                 pa.array(found[:, 1].copy()), crc, rows.column("n_tokens"), pa.array(found[:, 2].copy()), pa.array(found[:, 3].copy())],
+                 pa.array(found[:, 1].copy()), pa.array(crc), rows.column("n_tokens"), pa.array(found[:, 2].copy()), pa.array(found[:, 3].copy())],
                 ["doc_id", "shard", "row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
     return run
 
 
-def place(encoded: DataFrame, size: int) -> tuple[DataFrame, Placement]:
-    """The parts of all documents with their sequence and offset; ``ids_crc32`` is null where a piece was cut further."""
+def place(encoded: DataFrame, size: int) -> DataFrame:
+    """The parts of all documents with their sequence and offset. Ids travel only with the pieces that are cut further."""
     rest = F.array(F.struct((F.col("n_tokens") - F.col("rest")).alias("begin"), F.col("rest").alias("length"), F.col("rest_rank").alias("local")))
     full = F.transform(
         F.when(F.col("n_tokens") >= size, F.sequence(F.lit(0).cast("long"), F.floor(F.col("n_tokens") / size) - 1)).otherwise(F.array().cast("array<bigint>")),
         lambda k: F.struct((k * size).alias("begin"), F.lit(size).alias("length"), (F.col("full_rank") + k).alias("local")),
     )
-    pieces = (
-        encoded.select("doc_id", "shard", "row", "n_tokens", "crcs", F.explode(F.concat(full, F.when(F.col("rest") > 0, rest).otherwise(F.slice(rest, 1, 0)))).alias("p"))
-        .select("doc_id", "shard", "row", "n_tokens", "p.*", F.element_at("crcs", (F.col("p.begin") / size).cast("int") + 1).alias("crc"))
+    exploded = encoded.select(
+        "doc_id", "shard", "row", "n_tokens", "crcs", "rest_ids", F.explode(F.concat(full, F.when(F.col("rest") > 0, rest).otherwise(F.slice(rest, 1, 0)))).alias("p")
     )
-    counts = stored(pieces.groupBy("shard", "length").agg(F.count("*").alias("n")), "piece-counts")
+    # A task counts the pieces of several shards, each of at most ``size`` lengths: the counts are few files whatever the shuffle partitions.
+    last = encoded.agg(F.max("shard")).first()[0] or 0
+    tasks = math.ceil((last + 1) / SHARDS_A_TASK)
+    counts = stored(exploded.groupBy("shard", F.col("p.length").alias("length")).agg(F.count("*").alias("n")).coalesce(tasks), "piece-counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     placement = Placement(shortest_pack_first(histogram, size))
+    pieces = exploded.select(
+        "doc_id", "shard", "row", "n_tokens", "p.*", F.element_at("crcs", (F.col("p.begin") / size).cast("int") + 1).alias("crc"),
+        F.when((F.col("p.length") < size) & F.col("p.length").isin(placement.cut_lengths), F.col("rest_ids")).alias("cut_ids"),
+    )
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("shard", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(bases, ["shard", "length"]).withColumn("rank", F.col("base") + F.col("local"))
-    return ranked.mapInArrow(_place(placement), PLACED), placement
+    return ranked.mapInArrow(_place(placement), PLACED)
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2) -> DataFrame:
     """One row per part of a document: its ids ``start .. start + length`` lie in ``sequence_id`` from ``offset`` on."""
-    encoded = encode(docs, tokenizer, size, end_id)
-    placed, placement = place(encoded, size)
-    if not placement.cut_lengths:
-        return placed
-    placed = stored(placed, "placed")
-
-    @F.arrow_udf("long")
-    def crc_of_part(ids: pa.Array, start: pa.Array, length: pa.Array) -> pa.Array:
-        parts = zip(ids, start.to_pylist(), length.to_pylist())
-        return pa.array([zlib.crc32(i.as_buffer()[4 * a:4 * (a + n)]) for i, a, n in parts], pa.int64())
-
-    sources = encoded.filter(F.col("rest").isin(placement.cut_lengths)).select("shard", "row", F.col("n_tokens").alias("_n"), "rest", "rest_ids")
-    cut = placed.filter(F.col("ids_crc32").isNull()).drop("ids_crc32").join(sources, ["shard", "row"])
-    cut = cut.withColumn("ids_crc32", crc_of_part("rest_ids", F.col("start") - (F.col("_n") - F.col("rest")), "length"))
-    return placed.filter(F.col("ids_crc32").isNotNull()).unionByName(cut.select(placed.columns))
+    return place(encode(docs, tokenizer, size, end_id), size)
 
 
 @query("op3_packing")

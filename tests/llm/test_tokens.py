@@ -111,6 +111,23 @@ def test_packing(spark, size):
     assert packing.pack(frame(spark, []), chunks.vocabulary(chunks.WORD_BPE), size=size).count() == 0
 
 
+def test_packing_keeps_two_small_tables_whatever_the_shuffle_partitions(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(packing, "stored", lambda df, name: made.setdefault(name, shared.stored(df, name)))
+    texts = [words(k, 1 + 7 * k % 90) for k in range(160)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = packing.pack(frame(spark, list(enumerate(texts))).repartition(20), chunks.vocabulary(chunks.WORD_BPE), size=64).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    ids = plain_ids(chunks.WORD_BPE, texts)
+    assert all(p.ids_crc32 == zlib.crc32(np.array((ids[p.doc_id] + [2])[p.start:p.start + p.length], "<u4").tobytes()) for p in got)
+    assert any((p.start + p.length) % 64 and p.start + p.length < p.doc_tokens for p in got)
+    assert sorted(made) == ["packing", "piece-counts"] and len(made["piece-counts"].inputFiles()) <= 2
+
+
 def test_shortest_pack_first_takes_the_emptiest_pack():
     runs = packing.shortest_pack_first({6: 1, 5: 1, 3: 1, 1: 1}, 10)
     assert {(r[0], r[5]) for r in runs if r[0] in (6, 5)} == {(6, 0), (5, 1)}
